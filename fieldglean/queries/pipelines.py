@@ -1,0 +1 @@
+"""Whole jobs over pages that Spark derives from the given tables."""
