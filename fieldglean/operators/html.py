@@ -11,9 +11,12 @@ from collections.abc import Iterable, Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldglean.functions.scalars import strip
+from fieldglean.rules.sites import RULE_SCHEMA
+
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # Start tag -> open tags it closes implicitly.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -77,7 +80,7 @@ class _Tree(HTMLParser):
         self.pieces.append((top, data))
 
 
-def _nodes(markup: str, tags: frozenset | None, content: frozenset | None) -> Iterator[tuple]:
+def _nodes(markup: str, tags: frozenset | None, content: frozenset | None, ids: frozenset) -> Iterator[tuple]:
     tree = _Tree()
     tree.feed(markup)
     tree.close()
@@ -90,24 +93,28 @@ def _nodes(markup: str, tags: frozenset | None, content: frozenset | None) -> It
     for node, (tag, parent) in enumerate(zip(tree.tag, tree.parent)):
         step = (tag, ordinal[node], total[parent, tag] - ordinal[node] + 1, tree.attrs[node].get("id"))
         paths.append((paths[parent] if parent >= 0 else ()) + (step,))
-        if tags is not None and tag not in tags:
+        named = tree.attrs[node].get("id") in ids
+        if tags is not None and tag not in tags and not named:
             continue
         path = paths[node]
         start, stop = tree.span[node]
-        text = "".join(t for _, t in tree.pieces[start:stop]) if content is None or tag in content else None
+        text = "".join(t for _, t in tree.pieces[start:stop]) if named or content is None or tag in content else None
         yield (node, parent, tag, [s[0] for s in path], [s[1] for s in path], [s[2] for s in path],
                [{"id": s[3], "depth": d + 1} for d, s in enumerate(path) if s[3]],
                tree.attrs[node], tree.own[node], text)
 
 
 def html_nodes(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("page_id",),
-               tags: Iterable[str] | None = None, content: Iterable[str] | None = None) -> DataFrame:
+               tags: Iterable[str] | None = None, content: Iterable[str] | None = None,
+               ids: Iterable[str] = ()) -> DataFrame:
     """One row per element: path, ordinals, ids above it, attributes, own text, whole text.
 
-    ``tags`` keeps only those elements and ``content`` fills the whole text only for those, so the
-    step emits what the query reads and not every page once per nesting level.
+    ``tags`` keeps only those elements (and those with one of the ``ids``) and ``content`` fills
+    the whole text only for those, so the step emits what the query reads and not every page once
+    per nesting level.
     """
     keep = frozenset(tags) if tags is not None else None
+    named = frozenset(ids)
     full = frozenset(content) if content is not None else keep
     names = ["node_id", "parent_id", "tag", "tags", "idx", "from_end", "anchors", "attrs", "text", "content"]
     carry = list(carry)
@@ -118,7 +125,7 @@ def html_nodes(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("pa
             rows, at = [], []
             for i, markup in enumerate(batch[html]):
                 if markup:
-                    found = list(_nodes(markup, keep, full))
+                    found = list(_nodes(markup, keep, full, named))
                     rows += found
                     at += [i] * len(found)
             out = pd.DataFrame(rows, columns=names)
@@ -148,16 +155,16 @@ def rule_rows(rules: Iterable[dict]) -> list[dict]:
     return out
 
 
-def leaf_tags(rules: Iterable[dict]) -> set[str] | None:
-    """Tags the rules end on; None (keep all) when a rule ends on an id itself."""
-    rows = rule_rows(rules)
-    return None if any(not r["path_tags"] for r in rows) else {r["path_tags"][-1] for r in rows}
+def rule_frame(spark: SparkSession, rules: Iterable[dict]) -> DataFrame:
+    names = [c.split()[0] for c in RULE_SCHEMA.replace("\n", " ").split(",")]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in rule_rows(rules)], RULE_SCHEMA)
 
 
 def match_rules(nodes: DataFrame, rules: DataFrame, site: str = "site") -> DataFrame:
     """Nodes beside the rules that name them: same site, anchor id and tag path, fitting ordinals.
 
-    An anchored path starts below an element with that id; anchor '' is a path from the root.
+    An anchored path starts below an element with that id; anchor '' is a path from the root. ``row``
+    holds the ordinals down to the repeated row of the rule, and is empty for a field of the page.
     """
     anchors = F.array_union(F.array(F.struct(F.lit("").alias("id"), F.lit(0).alias("depth"))), F.col("anchors"))
     spread = nodes.withColumn("__a", F.explode(anchors)).withColumn("anchor", F.col("__a.id"))
@@ -166,18 +173,22 @@ def match_rules(nodes: DataFrame, rules: DataFrame, site: str = "site") -> DataF
                                  "rel_end": rest(F.col("from_end"))}).drop("__a")
     fits = lambda want, have: F.forall(F.zip_with(want, have, lambda w, h: (w == 0) | (w == h)), lambda x: x)
     hit = spread.join(F.broadcast(rules), [site, "anchor", "path_tags"])
-    return hit.filter(fits(F.col("path_idx"), F.col("rel_idx")) & fits(F.col("path_end"), F.col("rel_end")))
+    at_row = lambda c: F.get(c, F.col("skip_at") - 1)
+    inside = (F.col("skip_at") == 0) | ((at_row(F.col("rel_idx")) > F.col("skip_first"))
+                                      & (at_row(F.col("rel_end")) > F.col("skip_last")))
+    return hit.filter(fits(F.col("path_idx"), F.col("rel_idx")) & fits(F.col("path_end"), F.col("rel_end")) & inside
+                      ).withColumn("row", F.slice("rel_idx", F.lit(1), F.col("depth")))
 
 
 def node_value(mode: Column) -> Column:
-    """Text a rule asks for: own text, whole text, or a named attribute."""
-    attr = F.try_element_at("attrs", F.substring_index(mode, "@", -1))
+    """Text a rule asks for: own text, whole text, or a named attribute (``@name``)."""
+    attr = F.try_element_at("attrs", F.substr(mode, F.lit(2)))
     return F.when(mode == "own", F.col("text")).when(mode.startswith("@"), attr).otherwise(F.col("content"))
 
 
 def page_fields(matched: DataFrame, key: Sequence[str], fields: Sequence[str], text: Column,
                 priority: str = "priority") -> DataFrame:
-    """One row per page: per field the first non-empty text by rule priority, then page order."""
+    """One row per key: per field the first non-empty text by rule priority, then page order."""
     value = F.nullif(text, F.lit(""))
     order = F.struct(priority, "node_id")
     return matched.withColumn("__v", value).filter(F.col("__v").isNotNull()).groupBy(*key).agg(
@@ -185,6 +196,22 @@ def page_fields(matched: DataFrame, key: Sequence[str], fields: Sequence[str], t
           for f in fields])
 
 
+def matched_nodes(pages: DataFrame, rules: Sequence[dict], html: str = "html", carry: Sequence[str] = ("page_id",),
+                  site: str | None = None) -> DataFrame:
+    """Parse the pages once and keep the nodes the rules name, with their value.
+
+    ``site`` is a constant for pages of one site; otherwise the pages carry a ``site`` column.
+    """
+    carry = list(carry) if site else [*carry, "site"]
+    rows = rule_rows(rules)
+    leaves = {r["path_tags"][-1] for r in rows if r["path_tags"]}
+    whole = {r["path_tags"][-1] for r in rows if r["path_tags"] and r["mode"] == "content"}
+    nodes = html_nodes(pages, html, carry, leaves, whole, {r["anchor"] for r in rows if not r["path_tags"]})
+    if site:
+        nodes = nodes.withColumn("site", F.lit(site))
+    return match_rules(nodes, rule_frame(pages.sparkSession, rules)).withColumn("value", strip(node_value(F.col("mode"))))
+
+
 def links(nodes: DataFrame, key: Sequence[str], base: str = "") -> DataFrame:
     """Anchors with their target, base prefixed, in page order."""
     return nodes.filter((F.col("tag") == "a") & F.col("attrs")["href"].isNotNull()).select(

@@ -49,7 +49,7 @@ def promote_header(cells: DataFrame, table: str, fields: Sequence[str]) -> DataF
         *[F.max(F.when(F.col("field") == f, F.col("text"))).alias(f) for f in fields])
 
 
-def last_per_key(df: DataFrame, key: Sequence[str], order: Column | str) -> DataFrame:
+def last_per_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
     """One row per key, the one with the greatest order value; combines on the map side."""
     rest = [c for c in df.columns if c not in key]
     return (df.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("__r"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fieldglean.functions import scalars as S
 from fieldglean.operators import html
 from fieldglean.queries import query
+from fieldglean.rules.sites import rule
 from fieldglean.sources.readers import table, web_pages
 
 _UNESCAPE = "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#x27;', ''''), '&amp;', '&')"
@@ -20,17 +21,12 @@ def _pages(spark, sf):
     SELECT page_id, trim({_UNESCAPE.format("regexp_extract(html, '<title>(.*?)</title>', 1)")}) AS title,
            trim({_UNESCAPE.format("regexp_extract(html, '<h1>(.*?)</h1>', 1)")}) AS h1 FROM pages""")
 def html_title_h1(spark, sf):
-    rules = [{"site": "any", "field": "title", "priority": 1, "anchor": "", "path": "html/head/title"},
-             {"site": "any", "field": "h1", "priority": 1, "anchor": "", "path": "html/body/article/h1"}]
+    rules = [rule("any", "title", "/html/head/title"), rule("any", "h1", "/html/body/article/h1")]
     return _fields(spark, sf, rules, ["title", "h1"])
 
 
 def _fields(spark, sf, rules, fields):
-    nodes = html.html_nodes(_pages(spark, sf), tags=html.leaf_tags(rules)).withColumn("site", F.lit("any"))
-    table_of_rules = spark.createDataFrame(
-        html.rule_rows(rules), "site string, field string, priority int, anchor string, path string, "
-        "path_tags array<string>, path_idx array<int>, path_end array<int>")
-    return html.page_fields(html.match_rules(nodes, table_of_rules), ["page_id"], fields, S.strip("content"))
+    return html.page_fields(html.matched_nodes(_pages(spark, sf), rules, site="any"), ["page_id"], fields, F.col("value"))
 
 
 @query("html_links", f"""
@@ -64,9 +60,8 @@ def html_nav_labels(spark, sf):
            CASE WHEN title = '' THEN 'NOT IMPLEMENTED' ELSE split_part(title, '//', 1) END AS franchise_found FROM t""")
 def html_fallback_owner(spark, sf):
     """The entity with its owner: the heading, or the title where there is none."""
-    rules = [{"site": "any", "field": "entity", "priority": 1, "anchor": "", "path": "html/head/title"},
-             {"site": "any", "field": "owner", "priority": 1, "anchor": "", "path": "html/body/article/h1"},
-             {"site": "any", "field": "owner", "priority": 2, "anchor": "", "path": "html/head/title"}]
+    rules = [rule("any", "entity", "/html/head/title"), rule("any", "owner", "/html/body/article/h1"),
+             rule("any", "owner", "/html/head/title", priority=2)]
     found = table(spark, sf, "pages").select("page_id").join(_fields(spark, sf, rules, ["entity", "owner"]), "page_id", "left")
     text = F.concat_ws("//", "entity", F.coalesce("owner", F.lit("NOT FOUND")))
     return found.select("page_id", S.pair(text).alias("p")).select("page_id", "p.result", "p.franchise_found")
