@@ -92,7 +92,7 @@ def layout_matches(text: Column) -> Column:
     whole = F.regexp_extract_all(text, F.col("regex"), F.lit(0))
 
     def fields(match: Column) -> Column:
-        value = lambda f: F.array_join(F.transform(f["groups"], lambda g: F.regexp_extract(match, F.col("regex"), g)), "")
+        value = lambda f: F.array_join(F.transform(f["groups"], lambda g: F.call_function("regexp_extract", match, F.col("regex"), g)), "")
         clean = lambda v: F.when(F.col("has_email"), v).otherwise(F.replace(v, F.lit("@"), F.lit("")))
         return F.map_from_entries(F.transform(F.col("fields"), lambda f: F.struct(f["field"], clean(value(f)))))
 

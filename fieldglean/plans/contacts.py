@@ -29,7 +29,7 @@ def page_features(doc_pages: DataFrame) -> DataFrame:
     """Per page of the search range: exhibit of the how-to page, contents flag, exhibits in contents."""
     text = F.lower(F.coalesce("text", F.lit("")))
     hit = F.regexp_substr(text, F.lit(R.CASED + R.EARN_END))
-    earn = F.when(text.rlike(R.CASED + R.EARN_PAGE), exhibit_in(F.substring_index(text, hit, 1)))
+    earn = F.when(text.rlike(R.CASED + R.EARN_PAGE), exhibit_in(F.split_part(text, hit, F.lit(1))))
     like = exhibit_in(between(text, R.CASED + R.LIKE_START, R.CASED + R.LIKE_END))
     plain = plain_quotes(text)
     named = F.concat(*[F.regexp_extract_all(plain, F.lit(R.CASED + p), F.lit(1)) for p in R.EXHIBIT_IN_CONTENTS])
@@ -94,7 +94,7 @@ def list_pages(doc_pages: DataFrame, located: DataFrame, start_pages: DataFrame
     pages = doc_pages.filter(can).select("doc", "page", joined.alias("joined"),
                                          text.rlike(R.TOTALS_PAGE).alias("totals"))
     found = (pages.join(located.filter("not failed"), "doc").filter(F.col("page") >= F.col("first_page"))
-             .filter(F.col("joined").rlike(F.col("list_regex")) & (F.col("by_item") | ~F.col("totals")))
+             .filter(F.rlike("joined", "list_regex") & (F.col("by_item") | ~F.col("totals")))
              .select("doc", "page"))
     if start_pages is not None:
         given = start_pages.filter(F.col("start_page").isNotNull()).select("doc", F.col("start_page").alias("page"))
@@ -125,7 +125,7 @@ def collect_runs(doc_pages: DataFrame, chosen: DataFrame, layouts: DataFrame) ->
         F.broadcast(layouts.select("ord", "tail")), "ord")
     pages = (doc_pages.select("doc", "page", F.replace("text", F.lit("\n"), F.lit("@")).alias("text"))
              .join(picked, "doc").filter(F.col("page") >= F.col("start"))
-             .withColumn("match", F.col("text").rlike(F.col("tail"))))
+             .withColumn("match", F.rlike("text", "tail")))
     stop = pages.filter(~F.coalesce("match", F.lit(False))).groupBy("doc").agg(F.min("page").alias("stop"))
     run = pages.filter("match").join(stop, "doc", "left").filter(
         F.col("stop").isNull() | (F.col("page") < F.col("stop")))
@@ -136,7 +136,8 @@ def collect_runs(doc_pages: DataFrame, chosen: DataFrame, layouts: DataFrame) ->
 def contact_rows(runs: DataFrame, layouts: DataFrame) -> DataFrame:
     """One row per match with the fields as a map and the order of the match in its document."""
     found = runs.join(F.broadcast(layouts), "ord")
-    rows = found.select("doc", F.col("name").alias("regex"), F.posexplode(layout_matches(F.col("text"))).alias("row_no", "f"))
+    rows = found.select("doc", "name", layout_matches(F.col("text")).alias("m"))
+    rows = rows.select("doc", F.col("name").alias("regex"), F.posexplode("m").alias("row_no", "f"))
     named = [c for c in R.CONTACT_COLUMNS if c not in ("fdd_name", "method", "regex", "franchise_id")]
     return rows.select(F.col("doc").alias("fdd_name"), "row_no", F.lit("regex").alias("method"), "regex",
                        *[F.try_element_at("f", F.lit(c)).alias(c) for c in named])
