@@ -7,6 +7,7 @@ projection: no shuffle, and a document with very many pages is as spread out as
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,15 +49,15 @@ def best_layout(text: Column, layouts: Sequence[Layout]) -> Column:
     """``(matches, n_keys, neg_ord)`` of the best layout, NULL if none matches.
 
     Most matches wins, then most fields, then catalogue order. A layout is tried in full only where
-    its end occurs in the text at all, which spares most pages the expensive patterns.
+    its ends occur in the text at all, which spares most pages the expensive patterns.
     """
     tried = []
     for lay in layouts:
-        n = F.regexp_count(text, F.lit(lay.regex))
-        tried.append(F.when(text.rlike(lay.needs), F.struct(
-            n.alias("matches"), F.lit(len(lay.fields)).alias("n_keys"), F.lit(-lay.ord).alias("neg_ord"))))
-    best = F.array_max(F.filter(F.array(*tried), lambda s: s["matches"] > 0))
-    return best
+        score = F.struct(F.regexp_count(text, F.lit(lay.regex)).alias("matches"),
+                         F.lit(len(lay.fields)).alias("n_keys"), F.lit(-lay.ord).alias("neg_ord"))
+        needed = reduce(lambda a, b: a & b, [text.rlike(p) for p in lay.needs], F.lit(True))
+        tried.append(F.when(needed, score))
+    return F.array_max(F.filter(F.array(*tried), lambda s: s["matches"] > 0))
 
 
 def best_of(text: Column, patterns: Mapping[str, str]) -> Column:

@@ -51,39 +51,43 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     should miss the rank the query fails instead of returning a wrong value.
     """
     points = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-_BRACKET, _BRACKET)})
-    at = {p: i for i, p in enumerate(points)}
-    sketch = df.agg(*[F.struct(
-        F.count(c).alias("n"), F.min(F.col(c).cast("double")).alias("lo"), F.max(F.col(c).cast("double")).alias("hi"),
-        F.percentile_approx(F.col(c).cast("double"), points, _SKETCH_ACCURACY).alias("q")).alias(c) for c in cols])
-
-    brackets = []
-    for c in cols:
-        for p in probs:
-            low, high = p - _BRACKET, p + _BRACKET
-            s = F.col(c)
-            brackets.append(F.struct(
-                F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob"), s["n"].alias("n"),
-                (s["q"][at[low]] if low > 0 else s["lo"]).alias("lo"),
-                (s["q"][at[high]] if high < 1 else s["hi"]).alias("hi")))
-    # len(cols) * len(probs) rows, whatever the size of the data.
-    brackets = sketch.select(F.inline(F.array(*brackets)))
-
-    values = long_form(df, cols, "double").filter(F.col("value").isNotNull())
-    part = (values.join(F.broadcast(brackets), "column_name")
-            .filter(F.col("value") <= F.col("hi"))
-            .withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value")))
-            .groupBy("column_name", "prob", "value").agg(F.count("*").alias("rows"), F.first("n").alias("n")))
+    num = {c: F.col(c).cast("double") for c in cols}
+    # One row of a few numbers per column comes to the driver, whatever the size of the data.
+    s = df.agg(*[F.struct(
+        F.count(c).alias("n"), F.min(num[c]).alias("lo"), F.max(num[c]).alias("hi"),
+        F.percentile_approx(num[c], points, _SKETCH_ACCURACY).alias("q")).alias(c) for c in cols]).first()
+    edge = lambda c, at, end: F.lit(s[c]["q"][points.index(at)] if 0 < at < 1 and s[c]["n"] else s[c][end])
+    cases = [(c, p, edge(c, p - _BRACKET, "lo"), edge(c, p + _BRACKET, "hi")) for c in cols for p in probs]
+    tag = lambda c, p: (F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob"))
+
+    # How many rows lie below each bracket: plain counters of one pass.
+    counted = df.agg(*[F.count_if(num[c] < lo).alias(f"b{i}") for i, (c, _, lo, _) in enumerate(cases)])
+    below = counted.select(F.inline(F.array(*[
+        F.struct(*tag(c, p), F.lit(None).cast("double").alias("value"), F.col(f"b{i}").alias("rows"))
+        for i, (c, p, _, _) in enumerate(cases)])))
+    # The values inside any bracket of their column, grouped before they are shuffled, then given
+    # to the brackets that hold them.
+    near = {c: reduce(lambda a, b: a | b, [num[c].between(lo, hi) for k, _, lo, hi in cases if k == c]) for c in cols}
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.when(near[c], num[c]).alias("value")) for c in cols])))
+    values = values.filter("value is not null").groupBy("column_name", "value").agg(F.count("*").alias("rows"))
+    holders = F.array_compact(F.array(*[
+        F.when((F.col("column_name") == c) & F.col("value").between(lo, hi), F.lit(float(p))) for c, p, lo, hi in cases]))
+    inside = values.select("column_name", F.explode(holders).alias("prob"), "value", "rows")
+
     # NULL sorts first: the count of everything below the bracket starts the running total.
     w = Window.partitionBy("column_name", "prob").orderBy(F.col("value").asc_nulls_first())
-    ranked = part.withColumn("upto", F.sum("rows").over(w)).withColumn("from", F.col("upto") - F.col("rows"))
-    pos = (F.col("n") - 1) * F.col("prob")
+    last = reduce(lambda chain, c: chain.when(F.col("column_name") == c, s[c]["n"] - 1), cols, F)
+    pos = last * F.col("prob")
+    ranked = below.unionByName(inside).withColumn("upto", F.sum("rows").over(w)).select(
+        "column_name", "prob", "value", "upto", (F.col("upto") - F.col("rows")).alias("from"), pos.alias("pos"))
     holds = lambda rank: F.max(F.when((rank >= F.col("from")) & (rank < F.col("upto")), F.col("value")))
     found = ranked.groupBy("column_name", "prob").agg(
-        F.first(pos).alias("pos"), holds(F.floor(pos)).alias("a"), holds(F.ceil(pos)).alias("b"))
+        F.first("pos").alias("pos"), holds(F.floor("pos")).alias("a"), holds(F.ceil("pos")).alias("b"))
     frac = F.col("pos") - F.floor("pos")
     value = F.when(frac == 0, F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * frac)
-    checked = F.when(F.col("a").isNull() | F.col("b").isNull(),
-                     F.raise_error(F.lit("quantile outside its bracket")).cast("double")).otherwise(value)
+    missed = (F.col("pos") >= 0) & (F.col("a").isNull() | F.col("b").isNull())
+    checked = F.when(missed, F.raise_error(F.lit("quantile outside its bracket")).cast("double")).otherwise(value)
     return found.select("column_name", "prob", checked.alias("quantile"))
 
 

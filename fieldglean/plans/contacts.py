@@ -18,6 +18,7 @@ from fieldglean.operators.documents import best_layout, include_exclude, layout_
 from fieldglean.operators.ordered import first_in_lookahead
 from fieldglean.operators.relational import lookup, reindex, upsert
 from fieldglean.rules import contacts as R
+from fieldglean.session import cut, parallelism
 
 
 def exhibit_in(text: Column) -> Column:
@@ -32,7 +33,9 @@ def page_features(doc_pages: DataFrame) -> DataFrame:
     earn = F.when(text.rlike(R.CASED + R.EARN_PAGE), exhibit_in(F.split_part(text, hit, F.lit(1))))
     like = exhibit_in(between(text, R.CASED + R.LIKE_START, R.CASED + R.LIKE_END))
     plain = plain_quotes(text)
-    named = F.concat(*[F.regexp_extract_all(plain, F.lit(R.CASED + p), F.lit(1)) for p in R.EXHIBIT_IN_CONTENTS])
+    names = F.concat(*[F.regexp_extract_all(plain, F.lit(R.CASED + p), F.lit(1)) for p in R.EXHIBIT_IN_CONTENTS])
+    # Every one of these patterns needs one of the two phrases.
+    named = F.when(F.contains(plain, F.lit("franchis")) | plain.rlike(R.CASED + r"list\s+of"), names).otherwise(F.array().cast("array<string>"))
     by_length = F.transform(F.array_sort(F.transform(
         named, lambda x: F.struct(F.length(x).alias("n"), x.alias("x")))), lambda s: s["x"])
     contents = ~text.rlike(R.FLAGS + R.HOW_TO_PAGE) & text.rlike(R.CASED + R.CONTENTS_PAGE)
@@ -109,9 +112,12 @@ def choose_layout(doc_pages: DataFrame, starts: DataFrame) -> DataFrame:
     near = starts.select("doc", F.explode(F.sequence(F.col("page"), F.col("page") + 2)).alias("page")).distinct()
     pages = doc_pages.join(near, ["doc", "page"]).filter(
         include_exclude(F.col("text"), None, R.FLAGS + R.NOT_A_CONTACT_PAGE, R.MIN_TEXT))
+    # Heavy work on few pages: spread by page, so that a large document is spread too.
+    pages = pages.repartition(parallelism(doc_pages.sparkSession), "doc", "page")
     best = best_layout(F.replace("text", F.lit("\n"), F.lit("@")), R.catalogue())
-    valid = (pages.withColumn("best", best).filter("best is not null")
-             .select("doc", "page", (-F.col("best.neg_ord")).alias("ord")))
+    # Generated, not filtered: a filter would be pushed below and run the whole catalogue again.
+    scored = pages.select("doc", "page", F.inline(F.array_compact(F.array(best))))
+    valid = scored.select("doc", "page", (-F.col("neg_ord")).alias("ord"))
     return first_in_lookahead(starts, valid, "doc", "page")
 
 
@@ -147,9 +153,11 @@ def extract_contacts(doc_pages: DataFrame, di_fdds: DataFrame | None = None,
                      start_pages: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(contacts in the stored schema plus ``row_no``, outcome per document)."""
     layouts = layout_table(doc_pages.sparkSession, R.catalogue())
-    located = locate(doc_pages)
-    starts = list_pages(doc_pages, located, start_pages)
-    chosen = choose_layout(doc_pages, starts)
+    # Three small tables (a row per document, a row per candidate page, a row per document) that the
+    # rest reads more than once; what they cost is the patterns behind them.
+    located = cut(locate(doc_pages))
+    starts = cut(list_pages(doc_pages, located, start_pages))
+    chosen = cut(choose_layout(doc_pages, starts))
     rows = contact_rows(collect_runs(doc_pages, chosen, layouts), layouts)
     if di_fdds is not None:
         ids = di_fdds.select(F.col("filename").alias("fdd_name"), "franchise_id")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldglean.operators import snapshots
 from fieldglean.plans import contacts, listings, registry, surface_area
 from fieldglean.queries import query
+from fieldglean.session import parallelism, spread
 from fieldglean.sources.readers import table
 
 _HOW_TO = "What's it like to be a franchisee? Exhibit F lists current ones. What else should I know?"
@@ -20,7 +21,7 @@ _HEADING = "Exhibit F\nCurrent outlets"
 
 def _contact_pages(spark, sf):
     """60 customers per document, 20 per page, behind a how-to page, the contents and a heading page."""
-    c = table(spark, sf, "customer").select(
+    c = spread(table(spark, sf, "customer")).select(
         F.concat(F.lit("d"), F.floor(F.col("c_custkey") / 60).cast("string"), F.lit("-fdd.pdf")).alias("doc"),
         (F.floor(F.pmod("c_custkey", F.lit(60)) / 20) + 6).cast("int").alias("page"), "c_custkey", "c_name", "c_nationkey")
     entry = F.concat(
@@ -31,7 +32,8 @@ def _contact_pages(spark, sf):
     listed = c.groupBy("doc", "page").agg(F.array_join(F.transform(parts, lambda p: p["e"]), "").alias("text"))
     front = [(0, _HOW_TO), (1, _CONTENTS), (2, "body"), (3, "body"), (4, "body"), (5, _HEADING), (9, "The end")]
     fixed = F.array(*[F.struct(F.lit(p).alias("page"), F.lit(t).alias("text")) for p, t in front])
-    return c.select("doc").distinct().select("doc", F.inline(fixed)).unionByName(listed)
+    pages = c.select("doc").distinct().select("doc", F.inline(fixed)).unionByName(listed)
+    return pages.repartition(parallelism(spark), "doc", "page")
 
 
 @query("contact_pipeline", """
@@ -68,7 +70,7 @@ def surface_area_pipeline(spark, sf):
              .when(F.col("o_orderstatus") == "O", F.concat(k(100), F.lit(" sq. ft."))).otherwise("none"))
     second = F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("or "), k(300), F.lit(" square foot"))).otherwise("stop")
     texts = F.array(F.lit("intro"), first, second, F.concat(k(900), F.lit(" sq. ft.")))
-    pages = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("doc"), F.posexplode(texts).alias("page", "text"))
+    pages = spread(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")).select(F.col("o_orderkey").cast("string").alias("doc"), F.posexplode(texts).alias("page", "text"))
     return surface_area.surface_areas(pages)
 
 
@@ -82,7 +84,7 @@ def _listing_pages(spark, sf):
         F.col("p_size").cast("string"), F.lit(", "), F.col("p_type"), F.lit("</dd><dt>Number of Employees:</dt><dd>"),
         n(F.col("p_size") * 100), F.lit(" people</dd><dt>Other:</dt><dd>x</dd></dl><dl><dt>ID:</dt><dd>"), F.col("p_partkey").cast("string"),
         F.lit("</dd><dt>Relocatable:</dt><dd>"), F.when(F.col("p_size") < 25, "Yes").otherwise("No"), F.lit("</dd></dl></div></div></div></body></html>"))
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), markup.alias("html"))
+    return spread(table(spark, sf, "part")).select(F.col("p_partkey").alias("page_id"), markup.alias("html"))
 
 
 @query("listing_pipeline", """
@@ -105,7 +107,9 @@ def listing_pipeline(spark, sf):
     FROM c WHERE rn = 1 OR p IS DISTINCT FROM asking_price""")
 def snapshot_pipeline(spark, sf):
     """A page per supplier and year (the run), read by the rules of a site, versioned by checksum."""
+    # The pages are few bytes but much parsing, so they are spread by number, not by size.
     per_run = table(spark, sf, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("run")).agg(F.floor(F.count("*") / 20).alias("price"))
+    per_run = per_run.repartition(parallelism(spark), "l_suppkey", "run")
     markup = F.concat(F.lit('<html><body><div id="wrap"><section></section><section><div><div><div><div><div></div><div><h2>Shop</h2><div></div><div></div>'
                             "<div><div><div><ul><li>Listing: "), F.col("l_suppkey").cast("string"), F.lit("</li><li>Price: $"),
                       F.format_number("price", 0), F.lit("</li></ul></div></div></div></div></div></div></div></div></section></div></body></html>"))

@@ -9,22 +9,29 @@ from fieldglean.operators import documents, ordered, relational
 from fieldglean.plans import logs
 from fieldglean.plans.surface_area import half_text
 from fieldglean.queries import query
+from fieldglean.session import spread
 from fieldglean.sources.readers import table
 
+# The part before the '@' cannot contain one, so it never needs to give back: possessive.
+_JAVA = {"has_digit": "[0-9]", "has_dollar": r"\$", "has_mail": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"}
 _FLAGS = {"has_digit": "[0-9]", "has_dollar": r"\$", "has_mail": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"}
 
 
+def _docs(spark, sf):
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query("pattern_flags", "SELECT doc_id, " + ", ".join(
     f"regexp_matches(text, '{p}') AS {n}" for n, p in _FLAGS.items()) + " FROM documents")
 def pattern_flags(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", *documents.pattern_flags("text", _FLAGS))
+    return _docs(spark, sf).select("doc_id", *documents.pattern_flags("text", _JAVA))
 
 
 @query("pattern_counts", " UNION ALL ".join(
     f"SELECT doc_id, '{n}' AS pattern, CAST(len(regexp_extract_all(text, '{p}')) AS BIGINT) AS matches FROM documents"
     for n, p in _FLAGS.items()))
 def pattern_counts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.inline(documents.pattern_counts(F.col("text"), _FLAGS)))
+    return _docs(spark, sf).select("doc_id", F.inline(documents.pattern_counts(F.col("text"), _JAVA)))
 
 
 @query("include_exclude_filter", """
@@ -34,7 +41,7 @@ def pattern_counts(spark, sf):
 def include_exclude_filter(spark, sf):
     text = F.col("text")
     keep = documents.include_exclude(text, "(?i)(the|und|les)", r"(?i)(license|\$)", 100)
-    return table(spark, sf, "documents").filter(keep & ~documents.contains_any(text, ["@", "###"])).select("doc_id")
+    return _docs(spark, sf).filter(keep & ~documents.contains_any(text, ["@", "###"])).select("doc_id")
 
 
 _MAIL = r"([A-Za-z0-9._%+-]+)@([A-Za-z0-9.-]+\.[A-Za-z]{2,})"
@@ -46,8 +53,9 @@ _MAIL = r"([A-Za-z0-9._%+-]+)@([A-Za-z0-9.-]+\.[A-Za-z]{2,})"
     FROM (SELECT doc_id, regexp_extract_all(text, '{_MAIL}', 1) AS users, regexp_extract_all(text, '{_MAIL}', 2) AS domains FROM documents),
          unnest(generate_series(1, len(users))) AS u(n)""")
 def email_contacts(spark, sf):
-    found = table(spark, sf, "documents").select(
-        "doc_id", F.inline(documents.match_rows(F.col("text"), _MAIL, {"owner_name": 1, "website": 2})))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text").filter(F.contains("text", F.lit("@"))))
+    found = docs.select(
+        "doc_id", F.inline(documents.match_rows(F.col("text"), _MAIL.replace("]+)@", "]++)@"), {"owner_name": 1, "website": 2})))
     tagged = found.select("*", F.lit("regex").alias("method"))
     return relational.reindex(tagged, ["doc_id", "match_no", "method", "owner_name", "website", "phone"])
 
@@ -60,7 +68,7 @@ def email_contacts(spark, sf):
 def numbers_min_max_mid(spark, sf):
     found = F.filter(F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1)), lambda x: F.length(x) <= 9)
     n = F.transform(found, lambda x: x.cast("bigint"))
-    per_page = table(spark, sf, "documents").select("doc_id", F.array_min(n).alias("lo"), F.array_max(n).alias("hi"))
+    per_page = _docs(spark, sf).select("doc_id", F.array_min(n).alias("lo"), F.array_max(n).alias("hi"))
     area = per_page.filter("lo is not null").groupBy("doc_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     mid = F.format_string("%s sq. ft.", half_text(F.col("lo") + F.col("hi")))
     return area.select("doc_id", "lo", "hi", mid.alias("mid"))
@@ -76,7 +84,7 @@ _SCORED = {"the": "the", "und": "und", "les": "les", "ment": "ment"}
     QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY matches DESC, ord) = 1""")
 def best_pattern(spark, sf):
     best = documents.best_of(F.col("text"), _SCORED)
-    return (table(spark, sf, "documents").select("doc_id", best.alias("b")).filter("b is not null")
+    return (_docs(spark, sf).select("doc_id", best.alias("b")).filter("b is not null")
             .select("doc_id", "b.pattern", "b.matches"))
 
 
@@ -152,7 +160,7 @@ def amount_parse(spark, sf):
     raw = (F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("$"), F.format_number(whole(F.col("o_totalprice")), 0)))
            .when(F.col("o_orderstatus") == "O", F.concat(whole(F.col("o_totalprice") / 1000).cast("string"), F.lit("K - "), key, F.lit("M")))
            .when(F.col("o_orderpriority") == "5-LOW", "Call").otherwise(F.concat(F.lit("$"), key, F.lit(".5M"))))
-    t = table(spark, sf, "orders").select("o_orderkey", raw.alias("raw"))
+    t = spread(table(spark, sf, "orders").drop("o_orderdate")).select("o_orderkey", raw.alias("raw"))
     r = t.withColumn("r", S.amount_range("raw"))
     return r.select("o_orderkey", "raw", S.amount("raw").alias("amount"), F.col("r.min").alias("low"), F.col("r.max").alias("high"),
                     F.col("r.range").alias("range"), S.usable_money("raw").alias("money"), S.amount("raw", exact=True).alias("exact"))
@@ -240,8 +248,8 @@ def constant_flags(spark, sf):
     rows = F.array(*[F.when(F.col("text").rlike(p), F.struct(
         F.lit(n).alias("pattern"), F.lit("Yes").alias("has_contacts"), F.lit("No").alias("scrape_contacts"),
         (F.regexp_substr("text", F.lit(p)) if n == "has_mail" else F.replace(F.regexp_substr("text", F.lit(p)), F.lit("@"), F.lit(""))).alias("first_match")))
-        for n, p in _FLAGS.items()])
-    return table(spark, sf, "documents").select("doc_id", F.inline(F.array_compact(rows)))
+        for n, p in _JAVA.items()])
+    return _docs(spark, sf).select("doc_id", F.inline(F.array_compact(rows)))
 
 
 _LOG_SQL = """(SELECT CASE o_orderstatus
@@ -272,7 +280,7 @@ def _messages(spark, sf):
     message = (F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("x-"), y, F.lit("-fdd.pdf: invalid methods")))
                .when(F.col("o_orderstatus") == "O", F.concat(F.lit("x-"), y, F.lit("-fdd.pdf: list of franchisees not found")))
                .otherwise(exported))
-    lines = table(spark, sf, "orders").select(
+    lines = spread(table(spark, sf, "orders").select("o_orderdate", "o_orderstatus", "o_orderpriority")).select(
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" - "), message).alias("value"))
     return logs.drop_noise(lines.select(S.log_message("value").alias("message")))
 

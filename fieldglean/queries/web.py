@@ -8,13 +8,14 @@ from fieldglean.functions import scalars as S
 from fieldglean.operators import html
 from fieldglean.queries import query
 from fieldglean.rules.sites import rule
+from fieldglean.session import spread
 from fieldglean.sources.readers import table, web_pages
 
 _UNESCAPE = "replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#x27;', ''''), '&amp;', '&')"
 
 
 def _pages(spark, sf):
-    return web_pages(table(spark, sf, "pages")).select("page_id", "html")
+    return spread(web_pages(table(spark, sf, "pages")).select("page_id", "html"))
 
 
 @query("html_title_h1", f"""

@@ -81,7 +81,7 @@ class Layout:
     regex: str
     fields: tuple[tuple[str, tuple[int, ...]], ...]
     tail: str
-    needs: str
+    needs: tuple[str, ...]
     has_email: bool
 
 
@@ -116,18 +116,18 @@ def java(pattern: str) -> str:
 
 def layout(ord: int, name: str, pattern: str) -> Layout:
     fields: dict[str, tuple[int, ...]] = {}
-    cut = None
+    cuts = []
     for number, (pos, depth, field) in enumerate(_groups(pattern), start=1):
         if field is None:
             continue
         fields[field] = fields.get(field, ()) + (number,)
-        if cut is None and depth == 0 and field in ("state", "zip", "zipcode", "phone"):
-            cut = pos
+        if depth == 0 and field in ("state", "zip", "zipcode", "phone"):
+            cuts.append(pos)
     phone = pattern.find("(?P<phone>")
     return Layout(ord, name, FLAGS + java(pattern), tuple(fields.items()),
                   FLAGS + java(pattern[phone:] if phone >= 0 else pattern),
-                  # A match of the whole implies a match of its end: a cheap, exact pre-test.
-                  FLAGS + java(pattern[cut:] if cut is not None else pattern),
+                  # A match of the whole implies a match of each of its ends: cheap, exact tests, shortest first.
+                  tuple(FLAGS + java(pattern[cut:]) for cut in reversed(cuts) if cut > 0),
                   "email" in pattern)
 
 

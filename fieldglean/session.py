@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,3 +24,28 @@ def get_session(app: str = "fieldglean", master: str | None = None, **conf: str)
     for key, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def parallelism(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table scan over at least as many tasks as there are cores, for work that is heavy per row.
+
+    Only a table of few files is reshuffled; a large one has its partitions already and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute once and cut the lineage, on the shared storage the cluster names.
+
+    For small results that cost much and are read several times. The files survive a lost executor.
+    Only where no folder is configured (tests, a laptop) a temporary one is set.
+    """
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldglean-"))
+    return df.checkpoint(eager=True)
