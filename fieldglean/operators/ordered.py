@@ -94,8 +94,9 @@ def fill_forward(df: DataFrame, key: Sequence[str], order: str, value: Column, n
     inside = Window.partitionBy(*piece).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*key).orderBy(*cut).rowsBetween(Window.unboundedPreceding, -1)
     ends = rows.groupBy(*piece).agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col(order))).alias("__e"))
-    carried = ends.select(*piece, F.last("__e", True).over(earlier).alias("__c"))
-    filled = rows.withColumn("__f", F.last("__v", True).over(inside)).join(carried, piece)
+    carried = ends.select(*[F.col(c).alias(f"__r_{c}") for c in piece], F.last("__e", True).over(earlier).alias("__c"))
+    same = [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in piece]
+    filled = rows.withColumn("__f", F.last("__v", True).over(inside)).join(carried, same)
     return filled.select(*df.columns, F.coalesce("__f", "__c").alias(name))
 
 

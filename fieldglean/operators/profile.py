@@ -56,7 +56,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     s = df.agg(*[F.struct(
         F.count(c).alias("n"), F.min(num[c]).alias("lo"), F.max(num[c]).alias("hi"),
         F.percentile_approx(num[c], points, _SKETCH_ACCURACY).alias("q")).alias(c) for c in cols]).first()
-    edge = lambda c, at, end: F.lit(s[c]["q"][points.index(at)] if 0 < at < 1 and s[c]["n"] else s[c][end])
+    # Among few rows the neighbour of a rank lies outside the margin: the bracket is then the whole column.
+    sure = lambda c: s[c]["n"] * _BRACKET >= 4
+    edge = lambda c, at, end: F.lit(s[c]["q"][points.index(at)] if 0 < at < 1 and sure(c) else s[c][end])
     cases = [(c, p, edge(c, p - _BRACKET, "lo"), edge(c, p + _BRACKET, "hi")) for c in cols for p in probs]
     tag = lambda c, p: (F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob"))
 

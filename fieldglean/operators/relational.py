@@ -151,7 +151,7 @@ def number_rows(df: DataFrame, group: Sequence[str], key: Column, width: int, na
     however large a group is. A prefix sum over the bucket counts gives each bucket its start.
     ``restart`` numbers every group from the offset anew.
     """
-    tagged = df.withColumn("__k", key).withColumn("__b", F.floor(F.col("__k") / width))
+    tagged = df.withColumn("__k", key).withColumn("__b", F.expr(f"__k div {width}"))
     bucket = [*group, "__b"]
     counts = tagged.groupBy(*bucket).agg(F.count("*").alias("__n"))
     # One row per bucket of up to ``width`` rows: a million rows for 10^12 keys at a width of 10^6.
@@ -162,21 +162,17 @@ def number_rows(df: DataFrame, group: Sequence[str], key: Column, width: int, na
     return _join_starts(tagged.withColumn("__i", inside), starts, bucket, name, offset, df.columns)
 
 
-def number_file_rows(df: DataFrame, name: str, offset: int = 0) -> DataFrame:
-    """Contiguous numbers in (file, line) order for a file scan.
+def number_blocks(df: DataFrame, block: Sequence[str], order: str, name: str, offset: int = 0) -> DataFrame:
+    """Contiguous numbers over blocks of bounded size and the row order inside them.
 
-    The group is the file block, which the scan bounds at ``spark.sql.files.maxPartitionBytes``;
-    row ids of the scan order the rows inside it.
+    For file scans: the block is (file, block start), which the scan bounds at
+    ``spark.sql.files.maxPartitionBytes``, and the scan's row ids order the rows inside it.
     """
-    tagged = df.select("*", F.col("_metadata.file_path").alias("__f"),
-                       F.col("_metadata.file_block_start").alias("__b"),
-                       F.monotonically_increasing_id().alias("__m"))
-    block = ["__f", "__b"]
-    counts = tagged.groupBy(*block).agg(F.count("*").alias("__n"))
+    counts = df.groupBy(*block).agg(F.count("*").alias("__n"))
     before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*block, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
-    inside = F.row_number().over(Window.partitionBy(*block).orderBy("__m"))
-    return _join_starts(tagged.withColumn("__i", inside), starts, block, name, offset, df.columns)
+    inside = F.row_number().over(Window.partitionBy(*block).orderBy(order))
+    return _join_starts(df.withColumn("__i", inside), starts, block, name, offset, df.columns)
 
 
 def shuffled(df: DataFrame, key: str, seed: str) -> DataFrame:

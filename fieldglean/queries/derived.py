@@ -36,13 +36,13 @@ def _contact_pages(spark, sf):
     return pages.repartition(parallelism(spark), "doc", "page")
 
 
-@query("contact_pipeline", """
+@query("contact_list_rows", """
     SELECT 'd' || CAST(c_custkey // 60 AS VARCHAR) || '-fdd.pdf' AS fdd_name, 'regex' AS method,
            'table_columns_3' AS regex, CAST(c_custkey AS VARCHAR) || 'MainStreet' AS address,
            'Town' || CAST(c_nationkey AS VARCHAR) AS city, 'IL' AS state, CAST(10000 + c_custkey % 80000 AS VARCHAR) AS zipcode,
            '(555) 555-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS phone, CAST(NULL AS VARCHAR) AS email
     FROM customer""")
-def contact_pipeline(spark, sf):
+def contact_list_rows(spark, sf):
     """Locate the exhibit, the list page and the layout, then read the contacts."""
     rows, _ = contacts.extract_contacts(_contact_pages(spark, sf))
     return rows.select("fdd_name", "method", "regex", "address", "city", "state", "zipcode", "phone", "email")
@@ -55,7 +55,7 @@ def contact_outcomes(spark, sf):
     return outcome.groupBy("outcome").agg(F.count("*").alias("count"))
 
 
-@query("surface_area_pipeline", """
+@query("surface_area_per_document", """
     WITH a AS (SELECT o_orderkey, o_custkey + 100 AS lo, o_orderstatus AS s, o_orderpriority = '1-URGENT' AS more, o_custkey AS k FROM orders),
          v AS (SELECT o_orderkey, CASE WHEN s = 'P' THEN CASE WHEN more THEN k + 300 ELSE k + 900 END ELSE lo END AS lo,
                       CASE WHEN s <> 'P' AND NOT more THEN CASE WHEN s = 'F' THEN k + 1200 ELSE lo END
@@ -63,7 +63,7 @@ def contact_outcomes(spark, sf):
     SELECT CAST(o_orderkey AS VARCHAR) AS doc, CAST(lo AS VARCHAR) || ' sq. ft.' AS area_min, CAST(hi AS VARCHAR) || ' sq. ft.' AS area_max,
            CAST((lo + hi) // 2 AS VARCHAR) || CASE WHEN (lo + hi) % 2 = 0 THEN '.0' ELSE '.5' END || ' sq. ft.' AS area_mid, 'done' AS outcome
     FROM v""")
-def surface_area_pipeline(spark, sf):
+def surface_area_per_document(spark, sf):
     """Four pages per order: text, an area by status, another one for urgent orders, a last one."""
     k = lambda n: F.format_number(F.col("o_custkey") + n, 0)
     first = (F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("from "), k(100), F.lit(" to\n"), k(1200), F.lit(" square feet")))
@@ -87,25 +87,25 @@ def _listing_pages(spark, sf):
     return spread(table(spark, sf, "part")).select(F.col("p_partkey").alias("page_id"), markup.alias("html"))
 
 
-@query("listing_pipeline", """
+@query("listing_page_records", """
     SELECT p_partkey AS page_id, p_name AS title, CAST(floor(p_retailprice) AS BIGINT) AS asking_price, CAST(p_size AS BIGINT) * 1000 AS gross_revenue,
            'Town ' || CAST(p_size AS VARCHAR) AS city, p_type AS state, CAST(p_size AS BIGINT) * 100 AS number_of_employees,
            CAST(p_partkey AS VARCHAR) AS listing_number, CASE WHEN p_size < 25 THEN 'Yes' ELSE 'No' END AS relocatable,
            CAST(NULL AS BIGINT) AS ebitda FROM part""")
-def listing_pipeline(spark, sf):
+def listing_page_records(spark, sf):
     """Detail pages of a site to clean records by paths and label tables."""
     rec = listings.detail_records(_listing_pages(spark, sf), "bizquest", 2024)
     return rec.select("page_id", "title", "asking_price", "gross_revenue", "city", "state", "number_of_employees", "listing_number",
                       "relocatable", "ebitda")
 
 
-@query("snapshot_pipeline", """
+@query("listing_page_versions", """
     WITH r AS (SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS run, CAST(count(*) AS BIGINT) // 20 AS asking_price FROM lineitem GROUP BY 1, 2),
          c AS (SELECT *, lag(asking_price) OVER w AS p, row_number() OVER w AS rn FROM r WINDOW w AS (PARTITION BY l_suppkey ORDER BY run))
     SELECT CAST(l_suppkey AS VARCHAR) AS listing_number, run, asking_price,
            CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY run) AS INTEGER) AS version_no
     FROM c WHERE rn = 1 OR p IS DISTINCT FROM asking_price""")
-def snapshot_pipeline(spark, sf):
+def listing_page_versions(spark, sf):
     """A page per supplier and year (the run), read by the rules of a site, versioned by checksum."""
     # The pages are few bytes but much parsing, so they are spread by number, not by size.
     per_run = table(spark, sf, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("run")).agg(F.floor(F.count("*") / 20).alias("price"))
@@ -121,13 +121,13 @@ def snapshot_pipeline(spark, sf):
     return snapshots.versions(runs, "listing_number", "run", ["title", "asking_price"]).select("listing_number", "run", "asking_price", "version_no")
 
 
-@query("register_pipeline", """
+@query("register_owners", """
     WITH s AS (SELECT s_suppkey, s_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
     SELECT s_suppkey AS page_id, 'Michigan' AS state, 'Shop ' || CAST(s_suppkey AS VARCHAR) AS franchise_found, s_name AS result FROM s WHERE r_name = 'AFRICA'
     UNION ALL SELECT s_suppkey, 'Texas', 'NOT IMPLEMENTED', s_name FROM s WHERE r_name = 'AMERICA'
     UNION ALL SELECT s_suppkey, 'Idaho', 'Shop ' || CAST(i AS VARCHAR), s_name || CAST(i AS VARCHAR) FROM s, range(1, 4) t(i) WHERE r_name = 'ASIA'
     UNION ALL SELECT s_suppkey, 'Hawaii', 'Shop', s_name FROM s WHERE r_name = 'EUROPE'""")
-def register_pipeline(spark, sf):
+def register_owners(spark, sf):
     """Result pages of five states to (entity, owner) pairs; the fifth is inactive and gives nothing."""
     s = (table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
          .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldglean.functions.scalars import base_name, log_message, na_to_null
-from fieldglean.operators.relational import union_by_name
+from fieldglean.operators.relational import number_blocks, union_by_name
 
 # The two title files.
 TITLES_SCHEMA = """tconst string, titleType string, primaryTitle string, originalTitle string, isAdult string,
@@ -94,6 +94,12 @@ def read_csv_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
     return union_by_name(*frames), rejected
 
 
+def number_folder_rows(df: DataFrame, name: str, offset: int = 0) -> DataFrame:
+    """Rows of ``read_csv_folder`` with contiguous numbers over files and lines, without its marks."""
+    marks = ["__path", "__start", "__m"]
+    return number_blocks(df, ["__path", "__start"], "__m", name, offset).drop(*marks)
+
+
 def read_log(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``(message)`` of each log line, without what precedes the first ' - '."""
     return spark.read.text(path).select(log_message("value").alias("message"))

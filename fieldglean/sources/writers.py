@@ -26,10 +26,9 @@ def write_version(df: DataFrame, root: str, version: int) -> str:
     return path
 
 
-def write_by_state(df: DataFrame, path: str, salt: int = 8) -> None:
-    """One folder per state. A salt spreads a state that holds most rows over several tasks."""
-    spread = df.repartition(F.col("state"), F.pmod(F.xxhash64(*df.columns), F.lit(salt)))
-    write_csv(spread, path, mode="append", by=["state"])
+def write_by_state(df: DataFrame, path: str) -> None:
+    """One folder per state. Rebalancing gathers a state into few files and splits one that holds most rows."""
+    write_csv(df.hint("rebalance", F.col("state")), path, mode="append", by=["state"])
 
 
 def write_by_outcome(df: DataFrame, path: str) -> None:

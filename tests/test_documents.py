@@ -58,7 +58,7 @@ def fdd(list_pages, front=(HOW_TO, CONTENTS), at=5):
     return pages + list_pages + ["the end"]
 
 
-def test_contact_pipeline(spark):
+def test_contact_lists_end_to_end(spark):
     head = "Exhibit F\nList of current outlets and their contact details as of this year\n"
     docs = {
         "plain-fdd.pdf": fdd([head + list_text(ROWS[:2]), list_text(ROWS[2:])]),
