@@ -7,10 +7,10 @@ aggregate on the page builds the record.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +26,11 @@ SCOPE = frozenset("html body div section article table tbody ul ol dl nav main f
 NODE_COLUMNS = """node_id int, parent_id int, tag string, tags array<string>, idx array<int>,
     from_end array<int>, anchors array<struct<id:string,depth:int>>, attrs map<string,string>,
     text string, content string"""
+NODE_TYPES = {
+    "node_id": pa.int32(), "parent_id": pa.int32(), "tag": pa.string(), "tags": pa.list_(pa.string()), "idx": pa.list_(pa.int32()),
+    "from_end": pa.list_(pa.int32()), "anchors": pa.list_(pa.struct([("id", pa.string()), ("depth", pa.int32())])),
+    "attrs": pa.map_(pa.string(), pa.string()), "text": pa.string(), "content": pa.string(),
+}
 
 
 class _Tree(HTMLParser):
@@ -80,60 +85,74 @@ class _Tree(HTMLParser):
         self.pieces.append((top, data))
 
 
-def _nodes(markup: str, tags: frozenset | None, content: frozenset | None, ids: frozenset) -> Iterator[tuple]:
+def _nodes(markup: str, keep, content) -> Iterator[tuple]:
+    """Rows of the elements ``keep(tag, path, anchors)`` accepts; ``content(tag, anchors)`` asks for the whole text."""
     tree = _Tree()
     tree.feed(markup)
     tree.close()
     tree._close_to(0)
     total: dict = {}
-    ordinal, paths = [], []
-    for tag, parent in zip(tree.tag, tree.parent):
+    ordinal, path, above = [], [], []
+    for node, (tag, parent) in enumerate(zip(tree.tag, tree.parent)):
         total[parent, tag] = total.get((parent, tag), 0) + 1
         ordinal.append(total[parent, tag])
+        path.append(f"{path[parent]}/{tag}" if parent >= 0 else tag)
+        upper = above[parent] if parent >= 0 else ()
+        own_id = tree.attrs[node].get("id")
+        # (id, steps down to it, length of its path) of every element with an id at or above.
+        above.append((*upper, (own_id, path[node].count("/") + 1, len(path[node]))) if own_id else upper)
     for node, (tag, parent) in enumerate(zip(tree.tag, tree.parent)):
-        step = (tag, ordinal[node], total[parent, tag] - ordinal[node] + 1, tree.attrs[node].get("id"))
-        paths.append((paths[parent] if parent >= 0 else ()) + (step,))
-        named = tree.attrs[node].get("id") in ids
-        if tags is not None and tag not in tags and not named:
+        if not keep(tag, path[node], above[node]):
             continue
-        path = paths[node]
+        line, n = [], node
+        while n >= 0:
+            line.append(n)
+            n = tree.parent[n]
+        line.reverse()
         start, stop = tree.span[node]
-        text = "".join(t for _, t in tree.pieces[start:stop]) if named or content is None or tag in content else None
-        yield (node, parent, tag, [s[0] for s in path], [s[1] for s in path], [s[2] for s in path],
-               [{"id": s[3], "depth": d + 1} for d, s in enumerate(path) if s[3]],
-               tree.attrs[node], tree.own[node], text)
+        text = "".join(t for _, t in tree.pieces[start:stop]) if content(tag) else None
+        yield (node, parent, tag, path[node].split("/"), [ordinal[n] for n in line],
+               [total[tree.parent[n], tree.tag[n]] - ordinal[n] + 1 for n in line],
+               [{"id": i, "depth": d} for i, d, _ in above[node]], list(tree.attrs[node].items()), tree.own[node], text)
 
 
 def html_nodes(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("page_id",),
                tags: Iterable[str] | None = None, content: Iterable[str] | None = None,
-               ids: Iterable[str] = ()) -> DataFrame:
+               paths: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
     """One row per element: path, ordinals, ids above it, attributes, own text, whole text.
 
-    ``tags`` keeps only those elements (and those with one of the ``ids``) and ``content`` fills
-    the whole text only for those, so the step emits what the query reads and not every page once
-    per nesting level.
+    ``tags`` keeps only those elements, ``paths`` only those on one of the tag paths below an anchor
+    id ('' is the root), and ``content`` fills the whole text only for those tags. So the step emits
+    what the query reads and not every page once per nesting level.
     """
-    keep = frozenset(tags) if tags is not None else None
-    named = frozenset(ids)
-    full = frozenset(content) if content is not None else keep
-    names = ["node_id", "parent_id", "tag", "tags", "idx", "from_end", "anchors", "attrs", "text", "content"]
+    by_tag = frozenset(tags) if tags is not None else None
+    full = frozenset(content) if content is not None else None
+    wanted = {a: frozenset(p) for a, p in paths.items()} if paths is not None else None
     carry = list(carry)
     fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in carry)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keep(tag: str, path: str, anchors: tuple) -> bool:
+        if wanted is not None:
+            return path in wanted.get("", ()) or any(i in wanted and path[n + 1:] in wanted[i] for i, _, n in anchors)
+        return by_tag is None or tag in by_tag
+
+    def whole(tag: str) -> bool:
+        return full is None or tag in full
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, at = [], []
-            for i, markup in enumerate(batch[html]):
+            for i, markup in enumerate(batch.column(html).to_pylist()):
                 if markup:
-                    found = list(_nodes(markup, keep, full, named))
+                    found = list(_nodes(markup, keep, whole))
                     rows += found
                     at += [i] * len(found)
-            out = pd.DataFrame(rows, columns=names)
-            for c in reversed(carry):
-                out.insert(0, c, batch[c].to_numpy()[at])
-            yield out
+            columns = zip(*rows) if rows else [()] * len(NODE_TYPES)
+            arrays = [batch.column(c).take(pa.array(at, pa.int32())) for c in carry]
+            arrays += [pa.array(list(col), kind) for col, kind in zip(columns, NODE_TYPES.values())]
+            yield pa.RecordBatch.from_arrays(arrays, [*carry, *NODE_TYPES])
 
-    return pages.select(*carry, html).mapInPandas(parse, f"{fields}, {NODE_COLUMNS}")
+    return pages.select(*carry, html).mapInArrow(parse, f"{fields}, {NODE_COLUMNS}")
 
 
 def rule_rows(rules: Iterable[dict]) -> list[dict]:
@@ -203,10 +222,16 @@ def matched_nodes(pages: DataFrame, rules: Sequence[dict], html: str = "html", c
     ``site`` is a constant for pages of one site; otherwise the pages carry a ``site`` column.
     """
     carry = list(carry) if site else [*carry, "site"]
-    rows = rule_rows(rules)
-    leaves = {r["path_tags"][-1] for r in rows if r["path_tags"]}
-    whole = {r["path_tags"][-1] for r in rows if r["path_tags"] and r["mode"] == "content"}
-    nodes = html_nodes(pages, html, carry, leaves, whole, {r["anchor"] for r in rows if not r["path_tags"]})
+    paths: dict[str, set[str]] = {}
+    whole = set()
+    for r in rule_rows(rules):
+        paths.setdefault(r["anchor"], set()).add("/".join(r["path_tags"]))
+        if r["mode"] == "content" and r["path_tags"]:
+            whole.add(r["path_tags"][-1])
+    # A rule may end on an id itself, whatever the tag: then every kept element gets its text.
+    if any(r["mode"] == "content" and not r["path"] for r in rules):
+        whole = None
+    nodes = html_nodes(pages, html, carry, None, whole, paths)
     if site:
         nodes = nodes.withColumn("site", F.lit(site))
     return match_rules(nodes, rule_frame(pages.sparkSession, rules)).withColumn("value", strip(node_value(F.col("mode"))))

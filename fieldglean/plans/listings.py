@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fieldglean.functions import scalars as S
 from fieldglean.operators import ordered, snapshots
 from fieldglean.operators.html import matched_nodes, page_fields
-from fieldglean.operators.relational import last_per_key
+from fieldglean.operators.relational import last_per_key, update_columns
 from fieldglean.rules import sites as R
 
 
@@ -326,9 +326,30 @@ def contact_cards(pages: DataFrame) -> DataFrame:
 
 
 def member_names(pages: DataFrame) -> DataFrame:
-    """Names of the members list in page order."""
-    rules = [R.rule("members", "name", R.MEMBER_NAMES, part="rows", depth=1)]
-    return matched_nodes(pages, rules, site="members").select("page_id", "node_id", F.col("value").alias("member"))
+    """``(page_id, pos, member, member_type)`` of the members list in page order."""
+    rules = [R.rule("members", f, x, part="rows", depth=1) for f, x in (("member", R.MEMBER_NAMES), ("member_type", R.MEMBER_TYPES))]
+    found = page_fields(matched_nodes(pages, rules, site="members"), ["page_id", "row"], ["member", "member_type"], F.col("value"))
+    return found.filter("member is not null").select("page_id", F.get("row", F.lit(0)).alias("pos"), "member", "member_type")
+
+
+# Columns added to the franchise list and to the list of owners.
+VISA_COLUMNS = ["Eligible for E-2 Visa?", "Works with Franchise Consultants/ Brokers?"]
+CONTACT_FIELDS = {"Contact Name": "contact", "Contact Email": "email", "Contact URL": "url", "Contact Phone": "phone",
+                  "Contact Address": "address", "Member Type": "member_type", "Franchise Name": "franchise_name"}
+
+
+def visa_flags(franchises: DataFrame, eligible: DataFrame, brokers: DataFrame) -> DataFrame:
+    """The franchise list with both flags, 'No' unless the franchise is in the matching table."""
+    out = franchises
+    for column, hits in zip(VISA_COLUMNS, (eligible, brokers)):
+        yes = hits.select("franchise", F.lit("Yes").alias("yes"), F.lit(1).alias("n"))
+        out = update_columns(out, yes, "franchise", {column: "yes"}, "n", "No")
+    return out
+
+
+def owner_contacts(owners: DataFrame, cards: DataFrame, order: str) -> DataFrame:
+    """The owner list with seven contact columns, '' without a card; the last card of an owner wins."""
+    return update_columns(owners, cards, "owner", CONTACT_FIELDS, order)
 
 
 # --- snapshots ----------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldglean.operators.documents import integers_in
 from fieldglean.operators.ordered import run_from
+from fieldglean.session import cut
 
 # The two ways an area is written, with their number of groups.
 AREA_RANGE = r"(\d+,\d+|\d+)\s*(?:[a-z]+|\–|\-)\s*(\d+,\d+|\d+)\s*(?:square|sq\.)\s*(?:f..t|ft\.)"
@@ -25,11 +26,14 @@ def surface_areas(doc_pages: DataFrame) -> DataFrame:
     Pages are read from the first one with an area while pages keep naming one; a page without
     readable text (NULL) is passed over. Reading up to an unreadable last page is an error.
     """
-    values = integers_in(F.replace("text", F.lit("\n"), F.lit("")), AREAS)
-    # Only numbers and flags are shuffled from here on, never page text.
+    text = F.replace("text", F.lit("\n"), F.lit(""))
+    # Both patterns need 'sq', which is cheap to look for.
+    values = F.when(F.contains(text, F.lit("sq")), integers_in(text, AREAS)).otherwise(F.array().cast("array<bigint>"))
+    # Only numbers and flags are kept from here on. They are read several times, the text only once.
     pages = doc_pages.select("doc", "page", F.col("text").isNull().alias("unreadable"), values.alias("values"))
     pages = pages.select("doc", "page", "unreadable", F.array_min("values").alias("lo"), F.array_max("values").alias("hi"),
                          (F.size("values") > 0).alias("hit"))
+    pages = cut(pages)
     docs = pages.groupBy("doc").agg(F.min(F.when(F.col("hit"), F.col("page"))).alias("start"), F.max("page").alias("last"),
                                     F.max(F.struct("page", "unreadable"))["unreadable"].alias("last_unreadable"))
     placed = pages.join(docs.filter("start is not null").select("doc", "start"), "doc")

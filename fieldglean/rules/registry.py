@@ -13,7 +13,7 @@ from functools import cache
 
 from fieldglean.rules.sites import rule, steps
 
-# States with an active rule; two more have rules but are switched off.
+# States that are searched. Arizona and Illinois have rules too but are switched off.
 STATES = [
     "Alabama", "Arkansas", "California", "Colorado", "Connecticut", "Florida", "Texas", "New York", "North Carolina",
     "Michigan", "Delaware", "Hawaii", "Idaho", "Iowa", "Indiana", "Kansas", "Kentucky", "Louisiana", "Maine",
@@ -32,6 +32,7 @@ SETTINGS = {
     "Connecticut": {"status": "ACTIVE", "limit": 5, "drop": "View all"},
     "Florida": {"limit": 1},
     "Texas": {"owner_label": "Registered Agent Name", "limit": 1},
+    "Arizona": {},
     "Illinois": {"owner_label": "Agent Information", "limit": 1},
     "New York": {"limit": 1, "joined": True},
     "North Carolina": {"joined": True, "needs_entity": True, "fallback": ""},
@@ -72,6 +73,7 @@ def owner_rules() -> tuple[dict, ...]:
     rows: list[dict] = []
     tr = '//*[@id="block-sos-content"]/div/div/div/table[2]/tbody[1]/tr'
     rows += _owner("Alabama", f"{tr}/td[2]", tr, f"{tr}/td[1]")
+    rows += _owner("Arizona", "/html/body/div[1]/div/div[14]/div[2]")
     tr = '//*[@id="mainContent"]/table[2]/tbody[1]/tr'
     rows += _owner("Arkansas", f"{tr}/td[2]/font[1]", tr, f"{tr}/td[1]/font[1]")
     rows += _owner("California", f"{_TABLE}/td[6]/span[1]", _TABLE)

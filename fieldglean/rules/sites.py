@@ -197,6 +197,7 @@ CARD_LISTS = [
 CARD_PERSON = '//*[@id="item-header-content"]/div[1]/h1'
 CARD_FRANCHISE = "/html/body/div[5]/div[3]/div[1]/div/div/div/div/div/div/div[1]/article/header/h1"
 MEMBER_NAMES = '//*[@id="members-list"]/li/div[2]/div[1]/a'
+MEMBER_TYPES = '//*[@id="members-list"]/li/div[2]/div[3]/span'
 
 # Snapshot key per site; bizben never clears the on-sale flag.
 SNAPSHOT_KEYS = {

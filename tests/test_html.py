@@ -3,6 +3,8 @@
 import pytest
 from pagebuilder import Page
 
+from pyspark.sql import functions as F
+
 from fieldglean.operators import html
 from fieldglean.plans import listings, registry
 from fieldglean.rules import registry as RR
@@ -221,8 +223,16 @@ def test_contact_cards(spark):
     assert (b.contact, b.email, b.url, b.franchise_name) == ("Bob Example", "bob@example.com", "http://x.example", "")
     m = Page()
     for i in (1, 2):
-        m.put(f'//*[@id="members-list"]/li[{i}]/div[2]/div[1]/a', f"Member {i}")
-    assert [r.member for r in listings.member_names(pages(spark, [m.html()])).orderBy("node_id").collect()] == ["Member 1", "Member 2"]
+        m.put(f'//*[@id="members-list"]/li[{i}]/div[2]/div[1]/a', f"Member {i}").put(f'//*[@id="members-list"]/li[{i}]/div[2]/div[3]/span', "Supplier")
+    got = listings.member_names(pages(spark, [m.html()])).orderBy("pos").collect()
+    assert [(r.member, r.member_type) for r in got] == [("Member 1", "Supplier"), ("Member 2", "Supplier")]
+    owners = spark.createDataFrame([("o1",), ("o2",)], "owner string")
+    cards = listings.contact_cards(pages(spark, [p.html()])).withColumns({"owner": F.lit("o1"), "member_type": F.lit("Franchisor")})
+    rows = {r.owner: r.asDict() for r in listings.owner_contacts(owners, cards, "page_id").collect()}
+    assert rows["o1"]["Contact Name"] == "Ann Example" and rows["o1"]["Member Type"] == "Franchisor" and rows["o2"]["Contact Email"] == ""
+    names = spark.createDataFrame([("F1",), ("F2",)], "franchise string")
+    flags = listings.visa_flags(names, spark.createDataFrame([("F1",), ("F1",)], "franchise string"), spark.createDataFrame([("zz",)], "franchise string"))
+    assert sorted(tuple(r) for r in flags.collect()) == [("F1", "Yes", "No"), ("F2", "No", "No")]
 
 
 def state_page(state, **texts):
@@ -252,6 +262,7 @@ def state_page(state, **texts):
 CASES = [
     ("Alabama", dict(owner=["x", "Ann"], owner_label=["Other", "Registered Agent Name"]), [("NOT IMPLEMENTED", "Ann")]),
     ("Arkansas", dict(owner=["x", "Ann"], owner_label=["Other", "Reg. Agent"]), [("NOT IMPLEMENTED", "Ann")]),
+    ("Arizona", dict(owner="Ann"), [("NOT IMPLEMENTED", "Ann")]),
     ("California", dict(owner=list("abcdefg")), [("NOT IMPLEMENTED", c) for c in "abcde"]),
     ("Colorado", dict(owner=["x", "Ann"], owner_label=["Date", "Name"], guard="Registered Agent"), [("NOT IMPLEMENTED", "Ann")]),
     ("Colorado", dict(owner=["x", "Ann"], owner_label=["Date", "Name"], guard="Other"), []),

@@ -23,7 +23,7 @@ def test_no_row_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(registry.QUERIES[name](spark, sf_dir))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text
-    assert text.count("MapInPandas") <= 1
+    assert text.count("MapInArrow") + text.count("MapInPandas") <= 1
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
