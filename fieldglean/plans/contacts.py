@@ -10,11 +10,13 @@ Stages and what each one shuffles:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldglean.functions.scalars import between, double_quotes, empty_to_null, plain_quotes
-from fieldglean.operators.documents import best_layout, include_exclude, layout_matches, layout_table
+from fieldglean.operators.documents import best_layout, header_field, include_exclude, layout_matches, layout_table
 from fieldglean.operators.ordered import first_in_lookahead
 from fieldglean.operators.relational import lookup, reindex, upsert
 from fieldglean.rules import contacts as R
@@ -177,3 +179,29 @@ def extract_contacts(doc_pages: DataFrame, di_fdds: DataFrame | None = None,
 def store_contacts(stored: DataFrame, contacts: DataFrame) -> DataFrame:
     """New version of the contact table: update by (document, phone), insert the rest."""
     return upsert(stored, contacts, ["fdd_name", "phone"], "row_no", F.col("phone") != "")
+
+
+def contact_tables(cells: DataFrame) -> DataFrame:
+    """Extracted tables ``(doc, row_no, col_no, text)``, header in row 0, to the contact columns.
+
+    A header decides the column by the first rule it fits. Several owner, mail or address columns are
+    joined with a blank in table order, of any other repeated column the last counts. ``poor`` marks
+    documents in which more than eight of the seventeen target columns hold nothing.
+    """
+    header = cells.filter("row_no = 0").select("doc", "col_no", header_field(F.col("text")).alias("field"))
+    header = header.filter(F.col("field").isNotNull() & (F.col("field") != ""))
+    body = cells.filter("row_no > 0 and text is not null").join(header, ["doc", "col_no"])
+
+    def value(field: str) -> Column:
+        mine = F.col("field") == field
+        if field in R.JOINED_COLUMNS:
+            parts = F.sort_array(F.collect_list(F.when(mine, F.struct("col_no", "text"))))
+            return F.nullif(F.array_join(F.transform(parts, lambda p: p["text"]), " "), F.lit(""))
+        return F.max_by("text", F.when(mine, F.col("col_no")))
+
+    rows = body.groupBy("doc", "row_no").agg(*[value(f).alias(f) for f in R.TABLE_COLUMNS])
+    # Five of the seventeen targets are never filled by a header rule, the company name is none of them.
+    targets = [f for f in R.TABLE_COLUMNS if f != "company_name"]
+    filled = reduce(lambda a, b: a + b, [F.max(F.col(f).isNotNull()).cast("int") for f in targets])
+    poor = rows.groupBy("doc").agg((R.TARGETS - filled > 8).alias("poor"))
+    return rows.join(poor, "doc")

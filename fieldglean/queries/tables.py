@@ -23,9 +23,11 @@ def dec(c):
     WHERE token IS NOT NULL GROUP BY token ORDER BY count DESC, token LIMIT 10""")
 def join_filter_explode_top10(spark, sf):
     """Left join, filter by flag and half-open year range, explode, count, top 10."""
-    lines = table(spark, sf, "lineitem").filter(
-        (F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp"))
-        & (F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp"))).select("l_partkey")
+    lines = table(spark, sf, "lineitem")
+    # A bound of the column's own type keeps the column bare, so the range reaches the parquet scan.
+    day = lambda text: F.lit(text).cast(lines.schema["l_shipdate"].dataType)
+    lines = lines.filter((F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= day("1996-01-01"))
+                         & (F.col("l_shipdate") < day("2000-01-01"))).select("l_partkey")
     # Counting per key before the join shrinks what meets the dimension to one row per part.
     per_part = lines.groupBy("l_partkey").agg(F.count("*").alias("n"))
     named = per_part.join(table(spark, sf, "part").select("p_partkey", "p_name"),
@@ -285,7 +287,7 @@ def process_status(spark, sf):
     runs = table(spark, sf, "events").select(
         F.col("user_id").alias("process_group"), F.col("event_type").alias("process"), F.col("props").alias("details"),
         F.struct("ts", "event_id").alias("at"))
-    half = F.lit("2024-01-15").cast("timestamp")
+    half = F.lit("2024-01-15").cast(table(spark, sf, "events").schema["ts"].dataType)
     merged = relational.latest_status(runs.filter(F.col("at.ts") < half), runs.filter(F.col("at.ts") >= half),
                                       ["process_group", "process"], "at")
     return merged.select("process_group", "process", "details", F.date_format("at.ts", "yyyy-MM-dd").alias("last_day"))

@@ -46,6 +46,12 @@ HEADER_RULES = [
     (r".*title.*|location", ""),
 ]
 
+# Columns a header can lead to, those that join repeated columns, number of target columns.
+TABLE_COLUMNS = ["fdd_name", "method", "regex", "owner_name", "email", "phone", "website", "state", "city", "address", "zipcode",
+                 "additional_information", "company_name"]
+JOINED_COLUMNS = ["owner_name", "email", "address"]
+TARGETS = 17
+
 # How the exhibit that holds the list is named.
 EXHIBIT_NAME = r'(?:exhibits?|attachments?|appendi(?:x|ces)?)\s+((?:\[?"?)\w+(?:"?]?))'
 EARN_PAGE = r"how\s+much\s+(?:can|will)\s+i\s+earn"

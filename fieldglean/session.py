@@ -43,9 +43,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage, on the shared storage the cluster names.
 
     For small results that cost much and are read several times. The files survive a lost executor.
-    Only where no folder is configured (tests, a laptop) a temporary one is set.
+    Only a local session without a configured folder (tests, a laptop) gets a temporary one.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldglean-"))
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="fieldglean-"))
     return df.checkpoint(eager=True)

@@ -171,6 +171,19 @@ def test_header_fields(spark):
                    "additional_information", "company_name", "", None]
 
 
+def test_contact_tables(spark):
+    def cells(doc, rows):
+        return [(doc, r, c, t) for r, row in enumerate(rows) for c, t in enumerate(row)]
+    good = [["fdd_name", "method", "regex", "First", "Last", "Telephone", "E-mail", "City", "State", "Zip", "Other"],
+            ["g.pdf", "camelot", "", "Ann", "Example", "555-0100", "a@example.com", "Town", "ST", "62701", "n1"],
+            ["g.pdf", "camelot", "", None, "Solo", None, None, "X", None, None, "n2"]]
+    bad = [["fdd_name", "Telephone", "???"], ["b.pdf", "555-0101", "lost"]]
+    df = spark.createDataFrame(cells("g", good) + cells("b", bad), "doc string, row_no int, col_no int, text string")
+    got = {(r.doc, r.row_no): r for r in contacts.contact_tables(df).collect()}
+    assert (got["g", 1].owner_name, got["g", 2].owner_name, got["g", 1].phone, got["g", 1].zipcode) == ("Ann Example", "Solo", "555-0100", "62701")
+    assert (got["g", 1].poor, got["b", 1].poor, got["b", 1].phone, got["b", 1].city) == (False, True, "555-0101", None)
+
+
 def test_logs(spark):
     lines = ["2023-01-01 10:00:00,1 - x-2022-fdd.pdf: invalid methods", "t - x-2023-1-fdd.pdf: invalid methods",
              "t - x-2022-fdd.pdf: list of franchisees not found", "t - Exported to: ./test/results/b-2023-1-fdd.csv",

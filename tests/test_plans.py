@@ -28,7 +28,7 @@ def test_no_row_python_and_no_cross_join(spark, sf_dir, name):
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     text = plan(registry.QUERIES["join_filter_explode_top10"](spark, sf_dir))
-    assert "PushedFilters: [IsNotNull(l_returnflag), IsNotNull(l_shipdate), EqualTo(l_returnflag,R)" in text
+    assert "EqualTo(l_returnflag,R), GreaterThanOrEqual(l_shipdate,1996-01-01" in text and "LessThan(l_shipdate,2000-01-01" in text
     assert "ReadSchema: struct<l_partkey:bigint,l_returnflag:string,l_shipdate:timestamp" in text
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in text
 
@@ -48,6 +48,12 @@ def test_rules_are_broadcast_and_page_fields_share_one_shuffle(spark):
     assert "BroadcastHashJoin" in plan(nodes) and "Exchange hashpartitioning" not in plan(nodes)
 
 
+def test_checkpoint_folder_is_the_configured_one(spark, tmp_path):
+    from fieldglean.session import cut
+    assert cut(spark.range(3)).count() == 3
+    assert spark.sparkContext.getCheckpointDir()
+
+
 def test_counts_combine_before_the_shuffle(spark, sf_dir):
     text = plan(registry.QUERIES["value_counts"](spark, sf_dir))
     assert text.count("HashAggregate") == 2
