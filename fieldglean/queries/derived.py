@@ -91,12 +91,12 @@ def _listing_pages(spark, sf):
     SELECT p_partkey AS page_id, p_name AS title, CAST(floor(p_retailprice) AS BIGINT) AS asking_price, CAST(p_size AS BIGINT) * 1000 AS gross_revenue,
            'Town ' || CAST(p_size AS VARCHAR) AS city, p_type AS state, CAST(p_size AS BIGINT) * 100 AS number_of_employees,
            CAST(p_partkey AS VARCHAR) AS listing_number, CASE WHEN p_size < 25 THEN 'Yes' ELSE 'No' END AS relocatable,
-           CAST(NULL AS BIGINT) AS ebitda FROM part""")
+           CAST(NULL AS DOUBLE) AS ebitda FROM part""")
 def listing_page_records(spark, sf):
     """Detail pages of a site to clean records by paths and label tables."""
     rec = listings.detail_records(_listing_pages(spark, sf), "bizquest", 2024)
     return rec.select("page_id", "title", "asking_price", "gross_revenue", "city", "state", "number_of_employees", "listing_number",
-                      "relocatable", "ebitda")
+                      "relocatable", F.col("ebitda").cast("double").alias("ebitda"))
 
 
 @query("listing_page_versions", """

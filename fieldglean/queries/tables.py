@@ -41,7 +41,7 @@ def join_filter_explode_top10(spark, sf):
     SELECT o_orderkey, TRY_CAST(split_part(o_orderpriority, '-', 1) AS DOUBLE) AS priority_no,
            TRY_CAST(o_orderpriority AS DOUBLE) AS priority_bad,
            coalesce(TRY_CAST(n_lines AS DOUBLE) <> 0, true) AS flag,
-           n_lines, CAST(qty AS BIGINT) AS qty
+           CAST(n_lines AS DOUBLE) AS n_lines, CAST(qty AS DOUBLE) AS qty
     FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, sum(l_quantity) AS qty FROM lineitem
                            WHERE l_returnflag = 'A' GROUP BY 1) ON o_orderkey = l_orderkey""")
 def title_ratings_left_join(spark, sf):
@@ -50,7 +50,8 @@ def title_ratings_left_join(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     return orders.join(totals, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         "o_orderkey", to_number(F.split_part("o_orderpriority", F.lit("-"), F.lit(1))).alias("priority_no"),
-        to_number("o_orderpriority").alias("priority_bad"), to_bool_null_true("n_lines").alias("flag"), "n_lines", "qty")
+        to_number("o_orderpriority").alias("priority_bad"), to_bool_null_true("n_lines").alias("flag"),
+        F.col("n_lines").cast("double").alias("n_lines"), F.col("qty").cast("double").alias("qty"))
 
 
 @query("value_counts", """
@@ -199,7 +200,7 @@ _YEARS = list(range(1995, 2003))
 
 
 @query("header_lookup_pivot", "SELECT l_suppkey, metric, " + ", ".join(
-    f"max(CASE WHEN y = {y} THEN v END) AS y{y}" for y in _YEARS) + """
+    f"CAST(max(CASE WHEN y = {y} THEN v END) AS DOUBLE) AS y{y}" for y in _YEARS) + """
     FROM (SELECT l_suppkey, year(l_shipdate) AS y, 'lines' AS metric, CAST(count(*) AS BIGINT) AS v FROM lineitem GROUP BY 1, 2
           UNION ALL SELECT l_suppkey, year(l_shipdate), 'quantity', CAST(sum(l_quantity) AS BIGINT) FROM lineitem GROUP BY 1, 2)
     GROUP BY 1, 2""")
@@ -214,7 +215,7 @@ def header_lookup_pivot(spark, sf):
     found = ordered.header_lookup(cells, ["l_suppkey"], [str(y) for y in _YEARS])
     metric = F.when(F.col("row_no") == 1, "lines").otherwise("quantity")
     return found.groupBy("l_suppkey", metric.alias("metric")).agg(
-        *[F.max(F.when(F.col("title") == str(y), to_int("text"))).alias(f"y{y}") for y in _YEARS])
+        *[F.max(F.when(F.col("title") == str(y), to_int("text"))).cast("double").alias(f"y{y}") for y in _YEARS])
 
 
 @query("promote_header", """
@@ -434,7 +435,7 @@ def listing_detail(spark, sf):
          f AS (SELECT *, last_value(CASE WHEN l_returnflag = 'R' THEN l_partkey END IGNORE NULLS) OVER (
                    PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS head FROM d)
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, head FROM f WHERE l_returnflag <> 'R'""")
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(head AS DOUBLE) AS head FROM f WHERE l_returnflag <> 'R'""")
 def forward_fill_category(spark, sf):
     """Rows flagged R head a group; the rows after them carry their part number."""
     d = table(spark, sf, "lineitem").select(
@@ -442,7 +443,7 @@ def forward_fill_category(spark, sf):
         F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").alias("at"))
     filled = ordered.fill_forward(d, ["l_orderkey"], "at", F.when(F.col("l_returnflag") == "R", F.col("l_partkey")), "head",
                                   bucket=[F.col("l_linenumber"), F.floor(F.col("l_partkey") / 100_000)])
-    return filled.filter("l_returnflag <> 'R'").drop("at", "l_returnflag")
+    return filled.filter("l_returnflag <> 'R'").drop("at", "l_returnflag").withColumn("head", F.col("head").cast("double"))
 
 
 @query("outcome_totals", """

@@ -148,11 +148,11 @@ _CLEAN_SQL = "replace(replace(replace(replace(raw, '$', ''), ',', ''), 'K', '000
 @query("amount_parse", f"""
     WITH t AS (SELECT o_orderkey, {_AMOUNT_SQL} AS raw FROM orders),
          a AS (SELECT o_orderkey, raw, CAST(regexp_extract_all({_CLEAN_SQL}, '([0-9]+)', 1) AS BIGINT[]) AS n FROM t)
-    SELECT o_orderkey, raw, n[1] AS amount, n[1] AS low, coalesce(n[2], n[1]) AS high,
+    SELECT o_orderkey, raw, CAST(n[1] AS DOUBLE) AS amount, CAST(n[1] AS DOUBLE) AS low, CAST(coalesce(n[2], n[1]) AS DOUBLE) AS high,
            CAST(n[1] AS VARCHAR) || ' - ' || CAST(coalesce(n[2], n[1]) AS VARCHAR) AS range,
            CASE WHEN NOT regexp_matches(lower(raw), '[/ns]|call|email')
                 THEN TRY_CAST(replace(replace(lower(raw), '$', ''), ',', '') AS DOUBLE) END AS money,
-           CASE WHEN raw LIKE '%.5M' THEN CAST(split_part(substr(raw, 2), '.', 1) AS BIGINT) * 1000000 + 500000 ELSE n[1] END AS exact
+           CAST(CASE WHEN raw LIKE '%.5M' THEN CAST(split_part(substr(raw, 2), '.', 1) AS BIGINT) * 1000000 + 500000 ELSE n[1] END AS DOUBLE) AS exact
     FROM a""")
 def amount_parse(spark, sf):
     whole = lambda c: F.floor(c).cast("bigint")
@@ -162,8 +162,9 @@ def amount_parse(spark, sf):
            .when(F.col("o_orderpriority") == "5-LOW", "Call").otherwise(F.concat(F.lit("$"), key, F.lit(".5M"))))
     t = spread(table(spark, sf, "orders").drop("o_orderdate")).select("o_orderkey", raw.alias("raw"))
     r = t.withColumn("r", S.amount_range("raw"))
-    return r.select("o_orderkey", "raw", S.amount("raw").alias("amount"), F.col("r.min").alias("low"), F.col("r.max").alias("high"),
-                    F.col("r.range").alias("range"), S.usable_money("raw").alias("money"), S.amount("raw", exact=True).alias("exact"))
+    num = lambda c, name: c.cast("double").alias(name)
+    return r.select("o_orderkey", "raw", num(S.amount("raw"), "amount"), num(F.col("r.min"), "low"), num(F.col("r.max"), "high"),
+                    F.col("r.range").alias("range"), S.usable_money("raw").alias("money"), num(S.amount("raw", exact=True), "exact"))
 
 
 @query("location_split", """
