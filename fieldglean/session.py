@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,24 @@ def get_session(app: str = "fieldglean", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so Python steps import it there from any folder."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="fieldglean-ship-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*")):
+            if f.suffix in (".py", ".txt"):
+                z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
