@@ -58,7 +58,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
 _P_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_PIECE = 1 << 20
+#: Bytes hashed at a time: the arrays of a piece fit a core's cache.
+_PIECE = 1 << 15
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -97,6 +98,26 @@ def word_hashes(text: bytes) -> np.ndarray:
     return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, _U)
 
 
+def batch_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of several texts after one another, and where each text's words begin (one more than texts)."""
+    joined = b"\n".join(texts)
+    bounds = np.zeros(len(texts) + 1, np.int64)
+    if joined:
+        raw = np.frombuffer(joined, np.uint8)
+        starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+        counts = np.add.reduceat(np.append(_word_starts(raw), 0), np.minimum(starts[:-1], len(raw)), dtype=np.int64)
+        counts[np.diff(starts) == 1] = 0
+        bounds[1:] = np.cumsum(counts)
+    return word_hashes(joined), bounds
+
+
+def _word_starts(raw: np.ndarray) -> np.ndarray:
+    """1 where a word begins."""
+    inside = ~_SPACES[raw]
+    inside[1:] &= _SPACES[raw[:-1]]
+    return inside.view(np.uint8)
+
+
 def _piece_hashes(raw: np.ndarray) -> np.ndarray:
     inside = np.concatenate(([False], ~_SPACES[raw], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
@@ -106,7 +127,8 @@ def _piece_hashes(raw: np.ndarray) -> np.ndarray:
     up, down = _power(len(raw) + 1)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(raw) + 1, _U)
-        np.cumsum((raw.astype(_U) + _U(1)) * up[: len(raw)], out=sums[1:])
+        np.multiply(raw, up[: len(raw)], out=sums[1:])
+        np.cumsum(sums, out=sums)
         value = (sums[ends] - sums[starts]) * down[starts]
         return mix(value + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
 
@@ -116,11 +138,12 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, _U)
-    out = np.zeros(n, _U)
+    out = hashes[:n].copy()
     with np.errstate(over="ignore"):
-        for i in range(width):
-            out = mix(out * _U(0xC2B2AE3D27D4EB4F) + hashes[i:i + n] + _U(i + 1))
-    return out
+        for i in range(1, width):
+            out *= _U(0xC2B2AE3D27D4EB4F)
+            out += hashes[i:i + n]
+    return mix(out + _U(width))
 
 
 def signed(x: np.ndarray) -> np.ndarray:

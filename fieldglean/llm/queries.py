@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldglean.llm import bpe, dedup, language, mixing, secrets, urls
+from fieldglean.llm import bpe, dedup, language, mixing, ngram_join, secrets, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
+@query("op1_ngram_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query("op2_bpe")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
