@@ -15,7 +15,7 @@ from fieldglean.session import ship_package
 #: A word, in the syntax that Java, RE2 and Python share.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts are handed to Python in batches of few rows and bytes, which bounds a worker's memory.
-BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 64, 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:

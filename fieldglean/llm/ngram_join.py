@@ -75,7 +75,7 @@ def shared_shingles(rows: DataFrame, n_buckets: int, hot: np.ndarray, width: int
     """(set_id, tokens, rarity): for each set, in parts, the shingles that another set holds too.
 
     A scan packs (set, hash) pairs by hash bucket; each bucket counts the sets of each hash and hands back those with at least
-    two. 48 bits of a hash and its bucket tell shingles apart. Rarity is a byte that rises with the number of sets; hot
+    two. 48 bits of a hash and its bucket tell shingles apart. Rarity is a small number that rises with the number of sets; hot
     shingles are passed on uncounted with the highest.
     """
     shared_hot = rows.sparkSession.sparkContext.broadcast(hot)
@@ -127,23 +127,22 @@ def shared_shingles(rows: DataFrame, n_buckets: int, hot: np.ndarray, width: int
         fresh = np.append(True, (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1]))
         tokens, ids = tokens[fresh], ids[fresh]
         if number >= n_buckets:
-            rarity = np.full(len(tokens), 255, np.uint8)
+            rarity = np.full(len(tokens), 127, np.int8)
         else:
             starts = np.append(0, np.flatnonzero(tokens[1:] != tokens[:-1]) + 1)
             sizes = np.diff(np.append(starts, len(tokens)))
             n = np.repeat(sizes, sizes)
             tokens, ids, n = tokens[n > 1], ids[n > 1], n[n > 1]
-            rarity = np.minimum(254, np.log2(np.maximum(n, 1)) * 8).astype(np.uint8)
+            rarity = np.minimum(126, np.log2(np.maximum(n, 1)) * 4).astype(np.int8)
             tokens = tokens | _U((number % 65535 + 1) << 48)
         order = np.argsort(ids, kind="stable")
         tokens, ids, rarity = tokens[order], ids[order], rarity[order]
         cuts = np.append(np.append(0, np.flatnonzero(np.diff(ids)) + 1), len(ids)) if len(ids) else np.zeros(1, np.int64)
-        spans = list(zip(cuts[:-1], cuts[1:]))
-        return pa.table({"set_id": pa.array(ids[cuts[:-1]], pa.int64()), "tokens": pa.array([tokens[a:b].tobytes() for a, b in spans], pa.binary()),
-                         "rarity": pa.array([rarity[a:b].tobytes() for a, b in spans], pa.binary())})
+        lists = lambda x: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x))
+        return pa.table({"set_id": pa.array(ids[cuts[:-1]], pa.int64()), "tokens": lists(tokens.view(np.int64)), "rarity": lists(rarity)})
 
     packed = rows.select("t").mapInArrow(deal, "bucket long, ids binary, counts binary, tokens binary")
-    return packed.groupBy("bucket").applyInArrow(count, "set_id long, tokens binary, rarity binary")
+    return packed.groupBy("bucket").applyInArrow(count, "set_id long, tokens array<long>, rarity array<tinyint>")
 
 
 def _need(n, percent: int):
@@ -157,32 +156,26 @@ def index(candidates: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for set_id, n, parts in zip(*[batch.column(c).to_pylist() for c in ("set_id", "n", "parts")]):
-                tokens = np.frombuffer(b"".join(p["tokens"] for p in parts), np.int64)
-                rarity = np.frombuffer(b"".join(p["rarity"] for p in parts), np.uint8)
-                listed = tokens[np.lexsort((tokens, rarity))][:len(tokens) - _need(n, percent) + 1]
+            cuts = batch.column(2).offsets.to_numpy()
+            tokens, rarity = (batch.column(c).values.to_numpy() for c in (2, 3))
+            for i, (set_id, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                own = slice(cuts[i], cuts[i + 1])
+                size = cuts[i + 1] - cuts[i]
+                listed = tokens[own][np.lexsort((tokens[own], rarity[own]))][:size - _need(n, percent) + 1]
                 k = len(listed)
                 yield pa.RecordBatch.from_arrays([pa.array(listed), pa.array(np.full(k, set_id)), pa.array(np.full(k, n)), pa.array(
-                    np.arange(k) + (n - len(tokens)))], ["token", "set_id", "n", "pos"])
+                    np.arange(k) + (n - size))], ["token", "set_id", "n", "pos"])
 
-    return candidates.mapInArrow(run, "token long, set_id long, n long, pos long")
+    return candidates.select("set_id", "n", "tokens", "rarity").mapInArrow(run, "token long, set_id long, n long, pos long")
 
 
 def overlaps(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
     """`pairs(a, b)` with n_a, n_b and `common`, counted on the sets in full."""
-    left = candidates.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("parts.tokens").alias("x"))
-    right = candidates.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("parts.tokens").alias("y"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "x", "y")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = lambda parts: np.frombuffer(b"".join(parts), np.int64)
-        for batch in batches:
-            common = [len(np.intersect1d(whole(x), whole(y), assume_unique=True)) for x, y in zip(
-                batch.column("x").to_pylist(), batch.column("y").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(common, pa.int64())], ["a", "b", "n_a", "n_b", "common"])
-
-    return both.mapInArrow(run, "a long, b long, n_a long, n_b long, common long").withColumn(
-        "distance", 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common")))
+    left = candidates.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("x"))
+    right = candidates.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("y"))
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    both = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).cast("long").alias("common"))
+    return both.withColumn("distance", 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common")))
 
 
 def _linked(percent: int):
@@ -268,10 +261,11 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         raise RuntimeError("two different shingle sets have the same 64-bit sum")
     n_buckets = max(parallelism(spark), -(-(total["shingles"] or 0) // BUCKET_SHINGLES))
     parts = shared_shingles(rows, n_buckets, hot_shingles(rows, sets.count(), width), width).groupBy("set_id").agg(
-        F.collect_list(F.struct("tokens", "rarity")).alias("parts"), F.sum(F.length("rarity")).alias("shared"))
+        F.collect_list(F.struct("tokens", "rarity")).alias("parts"), F.sum(F.size("tokens")).alias("shared"))
     # Without that many shingles that other sets hold, a set has no link at all.
     candidates = written(parts.join(distinct.select("set_id", "n"), "set_id").where(
-        F.col("shared") * 100 >= F.col("n") * percent).select("set_id", "n", "parts"), "join-candidates")
+        F.col("shared") * 100 >= F.col("n") * percent).select(
+        "set_id", "n", F.flatten("parts.tokens").alias("tokens"), F.flatten("parts.rarity").alias("rarity")), "join-candidates")
     found = components(links(candidates, percent))
     named = found.join(distinct, found["node"] == distinct["set_id"]).groupBy("component").agg(F.min("least").alias("component_id"))
     of_set = found.join(named, "component").select(F.col("node").alias("set_id"), "component_id")
