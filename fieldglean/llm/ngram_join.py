@@ -71,11 +71,11 @@ def hot_shingles(rows: DataFrame, n_docs: int, width: int, share: float = HOT_SH
     return np.sort(np.array([r["h"] for r in counts.where(F.col("c") >= least).select("h").collect()], np.int64).view(_U))
 
 
-def shared_shingles(rows: DataFrame, n_buckets: int, hot: np.ndarray, width: int) -> DataFrame:
-    """(set_id, tokens, rarity): for each set, in parts, the shingles that another set holds too.
+def shared_shingles(rows: DataFrame, n_buckets: int, hot: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(set_id, n, tokens, rarity) of the sets of which at least `percent` of the shingles are in another set too, with these.
 
-    A scan packs (set, hash) pairs by hash bucket; each bucket counts the sets of each hash and hands back those with at least
-    two. 48 bits of a hash and its bucket tell shingles apart. Rarity is a small number that rises with the number of sets; hot
+    A scan packs (set, hash) pairs by hash bucket; each bucket counts the sets of each hash and passes on those with at least
+    two, packed by set; there the parts of a set are put together. Fewer shared shingles than that leave no room for a link. 48 bits of a hash and its bucket tell shingles apart. Rarity is a small number that rises with the number of sets; hot
     shingles are passed on uncounted with the highest.
     """
     shared_hot = rows.sparkSession.sparkContext.broadcast(hot)
@@ -83,24 +83,26 @@ def shared_shingles(rows: DataFrame, n_buckets: int, hot: np.ndarray, width: int
     def pack(held: list[tuple[int, np.ndarray]], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(s) for _, s in held])
         hashes, ids = np.concatenate([s for _, s in held]), np.repeat(np.array([i for i, _ in held], np.int64), sizes)
+        whole = np.repeat(sizes.astype(np.uint32), sizes)
         bucket = ((hashes >> _U(40)) % _U(n_buckets)).astype(np.int64)
         if len(frequent):
             at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
             bucket = np.where(frequent[at] == hashes, n_buckets + ids % n_buckets, bucket)
             hashes = np.where(frequent[at] == hashes, hashes & _LOW, hashes)
         order = np.argsort(bucket, kind="stable")
-        bucket, hashes, ids = bucket[order], hashes[order], ids[order]
+        bucket, hashes, ids, whole = bucket[order], hashes[order], ids[order], whole[order]
         ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
-        out = {"bucket": [], "ids": [], "counts": [], "tokens": []}
+        out = {"bucket": [], "ids": [], "sizes": [], "counts": [], "tokens": []}
         for a, b in zip(np.append(0, ends[:-1]), ends):
             steps = np.append(0, np.flatnonzero(np.diff(ids[a:b])) + 1)
             out["bucket"].append(bucket[a])
             out["ids"].append(ids[a:b][steps].tobytes())
+            out["sizes"].append(whole[a:b][steps].tobytes())
             out["counts"].append(np.diff(np.append(steps, b - a)).astype(np.uint32).tobytes())
             out["tokens"].append(hashes[a:b].view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
         for i in range(0, len(out["bucket"]), 1000):
             yield pa.RecordBatch.from_arrays([pa.array(out["bucket"][i:i + 1000], pa.int64()), *[
-                pa.array(out[c][i:i + 1000], pa.binary()) for c in ("ids", "counts", "tokens")]], list(out))
+                pa.array(out[c][i:i + 1000], pa.binary()) for c in list(out)[1:]]], list(out))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, seen, held, waiting = shared_hot.value, set(), [], 0
@@ -121,28 +123,44 @@ def shared_shingles(rows: DataFrame, n_buckets: int, hot: np.ndarray, width: int
         join = lambda c, kind: np.frombuffer(b"".join(group.column(c).to_pylist()), kind)
         low = np.zeros((sum(len(x) for x in group.column("tokens").to_pylist()) // 6, 8), np.uint8)
         low[:, :6] = join("tokens", np.uint8).reshape(-1, 6)
-        tokens, ids = low.view(_U).ravel(), np.repeat(join("ids", np.int64), join("counts", np.uint32))
+        counts = join("counts", np.uint32)
+        tokens, ids, whole = low.view(_U).ravel(), np.repeat(join("ids", np.int64), counts), np.repeat(join("sizes", np.uint32), counts)
         order = np.lexsort((ids, tokens))
-        tokens, ids = tokens[order], ids[order]
+        tokens, ids, whole = tokens[order], ids[order], whole[order]
         fresh = np.append(True, (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1]))
-        tokens, ids = tokens[fresh], ids[fresh]
+        tokens, ids, whole = tokens[fresh], ids[fresh], whole[fresh]
         if number >= n_buckets:
             rarity = np.full(len(tokens), 127, np.int8)
         else:
             starts = np.append(0, np.flatnonzero(tokens[1:] != tokens[:-1]) + 1)
             sizes = np.diff(np.append(starts, len(tokens)))
             n = np.repeat(sizes, sizes)
-            tokens, ids, n = tokens[n > 1], ids[n > 1], n[n > 1]
+            tokens, ids, whole, n = tokens[n > 1], ids[n > 1], whole[n > 1], n[n > 1]
             rarity = np.minimum(126, np.log2(np.maximum(n, 1)) * 4).astype(np.int8)
             tokens = tokens | _U((number % 65535 + 1) << 48)
+        to = (ids.view(_U) >> _U(20)) % _U(n_buckets)
+        order = np.argsort(to, kind="stable")
+        ends = np.searchsorted(to[order], np.arange(n_buckets + 1))
+        out = [(i, order[a:b]) for i, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if a < b]
+        return pa.table({"part": pa.array([i for i, _ in out], pa.int64())} | {c: pa.array([x[o].tobytes() for _, o in out], pa.binary()) for c, x in (
+            ("ids", ids), ("sizes", whole), ("tokens", tokens), ("rarity", rarity))})
+
+    def gather(group: pa.Table) -> pa.Table:
+        join = lambda c, kind: np.frombuffer(b"".join(group.column(c).to_pylist()), kind)
+        ids, whole, tokens, rarity = join("ids", np.int64), join("sizes", np.uint32), join("tokens", np.int64), join("rarity", np.int8)
         order = np.argsort(ids, kind="stable")
-        tokens, ids, rarity = tokens[order], ids[order], rarity[order]
-        cuts = np.append(np.append(0, np.flatnonzero(np.diff(ids)) + 1), len(ids)) if len(ids) else np.zeros(1, np.int64)
-        lists = lambda x: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x))
-        return pa.table({"set_id": pa.array(ids[cuts[:-1]], pa.int64()), "tokens": lists(tokens.view(np.int64)), "rarity": lists(rarity)})
+        ids = ids[order]
+        starts = np.append(0, np.flatnonzero(ids[1:] != ids[:-1]) + 1)
+        n, shared = whole[order][starts].astype(np.int64), np.diff(np.append(starts, len(ids)))
+        enough = shared * 100 >= n * percent
+        keep = order[np.repeat(enough, shared)]
+        cuts = pa.array(np.append(0, np.cumsum(shared[enough])), pa.int32())
+        return pa.table({"set_id": pa.array(ids[starts][enough]), "n": pa.array(n[enough]), "tokens": pa.ListArray.from_arrays(
+            cuts, pa.array(tokens[keep])), "rarity": pa.ListArray.from_arrays(cuts, pa.array(rarity[keep]))})
 
-    packed = rows.select("t").mapInArrow(deal, "bucket long, ids binary, counts binary, tokens binary")
-    return packed.groupBy("bucket").applyInArrow(count, "set_id long, tokens array<long>, rarity array<tinyint>")
+    packed = rows.select("t").mapInArrow(deal, "bucket long, ids binary, sizes binary, counts binary, tokens binary")
+    parts = packed.groupBy("bucket").applyInArrow(count, "part long, ids binary, sizes binary, tokens binary, rarity binary")
+    return parts.groupBy("part").applyInArrow(gather, "set_id long, n long, tokens array<long>, rarity array<tinyint>")
 
 
 def _need(n, percent: int):
@@ -189,7 +207,7 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
        itself, the set becomes a member of the leader's group at a known distance.
     2. A list is cut in blocks: the entries of a group of like size. Two blocks of a list meet only if their sizes and best
        positions still allow the overlap. The leaders of groups that meet are compared.
-    3. By the triangle inequality (1 - Jaccard is a metric) members further from their leaders than the distance of the
+    3. Leaders that these links connect need no more. By the triangle inequality (1 - Jaccard is a metric) members of others further from their leaders than the distance of the
        leaders less the limit remain; only these are compared, where they meet in a list.
     """
     limit = 1 - percent / 100
@@ -221,7 +239,11 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
         F.col("far")).alias("far_a"), F.when(swap, F.col("far")).otherwise(F.col("far_2")).alias("far_b"))
     pairs = written(pairs.groupBy("a", "b").agg(F.max("far_a").alias("far_a"), F.max("far_b").alias("far_b")), "join-pairs")
     roots = written(overlaps(pairs, candidates).withColumn("ok", _linked(percent)), "join-roots")
-    near = roots.where("not ok").join(pairs, ["a", "b"]).where(
+    joined = written(components(told.select("a", "b").unionByName(roots.where("ok").select("a", "b"))), "join-groups")
+    ends = [joined.select(F.col("node").alias(c), F.col("component").alias(f"group_{c}")) for c in "ab"]
+    apart = roots.where("not ok").join(ends[0], "a", "left").join(ends[1], "b", "left").where(
+        F.coalesce("group_a", "a") != F.coalesce("group_b", "b")).select("a", "b", "distance")
+    near = apart.join(pairs, ["a", "b"]).where(
         (F.col("far_a") + F.col("far_b") > 0) & (F.col("distance") - F.col("far_a") - F.col("far_b") <= limit + 1e-9)).select(
         "a", "b", F.col("distance").alias("apart"))
     x = entries.select("token", F.col("root").alias("a"), *[F.col(c).alias(f"{c}_1") for c in ("set_id", "n", "pos", "distance")])
@@ -234,7 +256,7 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
         & ((F.col("distance_1") > 0) | (F.col("distance_2") > 0))).select(
         F.col("set_id_1").alias("a"), F.col("set_id_2").alias("b")).distinct()
     inner = overlaps(inner, candidates).where(_linked(percent))
-    return told.select("a", "b").unionByName(roots.where("ok").select("a", "b")).unionByName(inner.select("a", "b"))
+    return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(inner.select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -260,12 +282,8 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     if total["clash"]:
         raise RuntimeError("two different shingle sets have the same 64-bit sum")
     n_buckets = max(parallelism(spark), -(-(total["shingles"] or 0) // BUCKET_SHINGLES))
-    parts = shared_shingles(rows, n_buckets, hot_shingles(rows, sets.count(), width), width).groupBy("set_id").agg(
-        F.collect_list(F.struct("tokens", "rarity")).alias("parts"), F.sum(F.size("tokens")).alias("shared"))
-    # Without that many shingles that other sets hold, a set has no link at all.
-    candidates = written(parts.join(distinct.select("set_id", "n"), "set_id").where(
-        F.col("shared") * 100 >= F.col("n") * percent).select(
-        "set_id", "n", F.flatten("parts.tokens").alias("tokens"), F.flatten("parts.rarity").alias("rarity")), "join-candidates")
+    hot = hot_shingles(rows, sets.count(), width)
+    candidates = written(shared_shingles(rows, n_buckets, hot, width, percent), "join-candidates")
     found = components(links(candidates, percent))
     named = found.join(distinct, found["node"] == distinct["set_id"]).groupBy("component").agg(F.min("least").alias("component_id"))
     of_set = found.join(named, "component").select(F.col("node").alias("set_id"), "component_id")
