@@ -208,7 +208,7 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
     2. A list is cut in blocks: the entries of a group of like size. Two blocks of a list meet only if their sizes and best
        positions still allow the overlap. The leaders of groups that meet are compared.
     3. Leaders that these links connect need no more. By the triangle inequality (1 - Jaccard is a metric) members of others further from their leaders than the distance of the
-       leaders less the limit remain; only these are compared, where they meet in a list.
+       leaders less the limit remain; only these are compared.
     """
     limit = 1 - percent / 100
     lists = written(index(candidates, percent), "join-lists")
@@ -245,16 +245,14 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
         F.coalesce("group_a", "a") != F.coalesce("group_b", "b")).select("a", "b", "distance")
     near = apart.join(pairs, ["a", "b"]).where(
         (F.col("far_a") + F.col("far_b") > 0) & (F.col("distance") - F.col("far_a") - F.col("far_b") <= limit + 1e-9)).select(
-        "a", "b", F.col("distance").alias("apart"))
-    x = entries.select("token", F.col("root").alias("a"), *[F.col(c).alias(f"{c}_1") for c in ("set_id", "n", "pos", "distance")])
-    y = entries.select("token", F.col("root").alias("b"), *[F.col(c).alias(f"{c}_2") for c in ("set_id", "n", "pos", "distance")])
-    need = F.ceil((F.col("n_1") + F.col("n_2")) * percent / (100 + percent) - 1e-9)
-    inner = x.join(near, "a").join(y, ["token", "b"]).where(
-        (F.col("distance_1") + F.col("distance_2") >= F.col("apart") - limit - 1e-9)
-        & (F.col("n_1") * 100 >= F.col("n_2") * percent) & (F.col("n_2") * 100 >= F.col("n_1") * percent)
-        & (F.least(F.col("n_1") - F.col("pos_1"), F.col("n_2") - F.col("pos_2")) >= need)
-        & ((F.col("distance_1") > 0) | (F.col("distance_2") > 0))).select(
-        F.col("set_id_1").alias("a"), F.col("set_id_2").alias("b")).distinct()
+        "a", "b", "far_b", F.col("distance").alias("apart"))
+    sets = candidates.select("set_id", "n").join(member, "set_id", "left").select(
+        "set_id", "n", F.coalesce("root", "set_id").alias("root"), F.coalesce("distance", F.lit(0.0)).alias("distance"))
+    x, y = [sets.select(F.col("root").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("set_id", "n", "distance")]) for side in "ab"]
+    inner = near.join(x, "a").where(F.col("distance_a") + F.col("far_b") >= F.col("apart") - limit - 1e-9).join(y, "b").where(
+        (F.col("distance_a") + F.col("distance_b") >= F.col("apart") - limit - 1e-9)
+        & (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+        & ((F.col("distance_a") > 0) | (F.col("distance_b") > 0))).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
     inner = overlaps(inner, candidates).where(_linked(percent))
     return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(inner.select("a", "b"))
 
