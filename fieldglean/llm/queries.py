@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldglean.llm import bpe, dedup, language, mixing, ngram_join, secrets, urls
+from fieldglean.llm import bpe, dedup, embeddings, language, mixing, ngram_join, pii, secrets, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs.where(~language.held_out("doc_id")))
     told = language.predict(docs, model)
     return told.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_embedding_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.train(*pii.training_windows(docs)))
+    model = F.transform("model_spans", lambda s: F.struct(F.concat(F.lit("model_"), s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"),
+                        secrets.listed(F.concat("base_spans", model)).alias("spans"))
