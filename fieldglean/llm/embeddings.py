@@ -20,7 +20,7 @@ PROBES, BLOCK, BUCKET = 2, 2048, 1000
 def plan(n: int, dim: int) -> tuple[int, int]:
     """Hash functions per table, which make buckets small, and tables, which win back what smaller buckets lose."""
     functions = max(1, math.ceil(math.log(max(1, n / BUCKET)) / math.log(2 * max(2, dim))))
-    return functions, 6 * 2 ** (functions - 1)
+    return functions, 4 * 2 ** (functions - 1)
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:

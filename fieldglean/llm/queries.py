@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldglean.llm import bpe, dedup, embeddings, language, mixing, ngram_join, pii, secrets, urls
+from fieldglean.llm import bpe, dedup, embeddings, language, mixing, ngram_join, pii, secrets, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = F.transform("model_spans", lambda s: F.struct(F.concat(F.lit("model_"), s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"),
                         secrets.listed(F.concat("base_spans", model)).alias("spans"))
+
+
+@query("op7_substring_dedup", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(words) - 48)) AS i, words FROM w WHERE len(words) >= 50),
+h AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS win FROM p),
+f AS (SELECT win, min(doc_id) AS least FROM h GROUP BY win HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT h.doc_id, unnest(range(h.i, h.i + 50)) AS i FROM h JOIN f ON h.win = f.win AND f.least < h.doc_id),
+r AS (SELECT doc_id, list(DISTINCT i) AS gone FROM g GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN words ELSE [words[k] FOR k IN range(1, len(words) + 1) IF NOT list_contains(gone, k)] END, ' '))
+  AS kept_sha256 FROM w LEFT JOIN r USING (doc_id)
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
