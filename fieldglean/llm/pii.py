@@ -23,8 +23,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: A window of the model, the step between windows, and how far from a digit or @ the model still looks: no kind is without one.
 WINDOW, STEP, REACH = 64, 32, 24
-#: Documents to train on, about; windows, passes over them, width of a direction, width of the character vectors.
-TRAIN_DOCS, TRAIN_WINDOWS, EPOCHS, HIDDEN, EMBED = 3_000, 2_048, 6, 16, 12
+#: Documents to train on, about; windows, batches drawn from them, width of a direction, width of the character vectors.
+TRAIN_DOCS, TRAIN_WINDOWS, STEPS, HIDDEN, EMBED = 3_000, 2_048, 180, 16, 12
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 _SPECIAL = "@.+-() _%:,/\n"
 _HINT = re.compile(r"[0-9@]+")
@@ -177,8 +177,8 @@ def _lstm_back(p: dict[str, np.ndarray], d: str, e: np.ndarray, kept: dict, dh_a
     return dz_all @ p[f"w_{d}"].T
 
 
-def train(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, hidden: int = HIDDEN, embed: int = EMBED, seed: int = 7, batch: int = 64,
-          rate: float = 0.02) -> Model:
+def train(x: np.ndarray, y: np.ndarray, steps: int = STEPS, hidden: int = HIDDEN, embed: int = EMBED, seed: int = 7, batch: int = 64,
+          rate: float = 0.015) -> Model:
     """Fit class windows x to tag windows y (both windows * WINDOW) with Adam. Without windows, all is O."""
     rng = np.random.default_rng(seed)
     draw = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
@@ -188,24 +188,21 @@ def train(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, hidden: int = HIDD
     if not len(x):
         p["bias"][0] = 10.0
         return Model(p)
-    first, second, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
-    for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), batch):
-            take = order[at:at + batch]
-            s, (e, h, kept_f, kept_b) = _forward(p, x[take])
-            _, ds, dtrans = _crf(p["trans"], s, y[take])
-            grads = {"trans": dtrans, "bias": ds.sum((0, 1)), "out": h.reshape(-1, 2 * hidden).T @ ds.reshape(-1, len(TAGS))}
-            dh = ds @ p["out"].T
-            de = _lstm_back(p, "f", e, kept_f, dh[:, :, :hidden], grads) + _lstm_back(p, "b", e, kept_b, dh[:, :, hidden:], grads)
-            grads["embed"] = np.zeros_like(p["embed"])
-            np.add.at(grads["embed"], x[take], de)
-            step += 1
-            for k, g in grads.items():
-                g = np.clip(g, -1, 1)
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                p[k] = p[k] - rate * first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)
+    first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    for step in range(1, steps + 1):
+        take = rng.integers(0, len(x), batch)
+        s, (e, h, kept_f, kept_b) = _forward(p, x[take])
+        _, ds, dtrans = _crf(p["trans"], s, y[take])
+        grads = {"trans": dtrans, "bias": ds.sum((0, 1)), "out": h.reshape(-1, 2 * hidden).T @ ds.reshape(-1, len(TAGS))}
+        dh = ds @ p["out"].T
+        de = _lstm_back(p, "f", e, kept_f, dh[:, :, :hidden], grads) + _lstm_back(p, "b", e, kept_b, dh[:, :, hidden:], grads)
+        grads["embed"] = np.zeros_like(p["embed"])
+        np.add.at(grads["embed"], x[take], de)
+        for k, g in grads.items():
+            g = np.clip(g, -1, 1)
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.99 * second[k] + 0.01 * g * g
+            p[k] = p[k] - rate * first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8)
     return Model(p)
 
 

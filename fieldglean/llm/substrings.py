@@ -17,7 +17,7 @@ from fieldglean.session import parallelism
 #: Words of a window, and of the anchors in it: every window has the same anchor wherever it occurs, its run of this many words
 #: with the least hash. Words that one automaton holds, about; segments of an anchor above which its windows go separate ways.
 WINDOW, ANCHOR = 50, 16
-SHARD_WORDS, WIDE = 150_000, 1_000
+SHARD_WORDS, WIDE = 150_000, 200
 _U = np.uint64
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -185,9 +185,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     found = written(_shared(found), "substring-segments")
     contents = found.groupBy("anchor", "content").agg(F.count("*").alias("copies")).groupBy("anchor").agg(F.count("*").alias("n_contents"))
     many = written(contents.where(F.col("n_contents") > wide).select("anchor"), "substring-wide")
-    if not many.isEmpty():
-        apart = _fetch(rows, _by_document(found.join(many, "anchor", "left_semi")), window, True).drop("words")
-        found = written(found.join(many, "anchor", "left_anti").unionByName(_shared(apart)), "substring-segments")
+    apart = _fetch(rows, _by_document(found.join(many, "anchor", "left_semi")), window, True).drop("words")
+    found = written(found.join(many, "anchor", "left_anti").unionByName(_shared(apart)), "substring-segments")
     distinct = written(found.groupBy("anchor", "content").agg(F.min(F.struct("doc", "rid", "start", "n")).alias("s")).select(
         "anchor", "content", "s.*"), "substring-distinct")
     total = distinct.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
