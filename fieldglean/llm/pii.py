@@ -24,7 +24,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: A window of the model, the step between windows, and how far from a digit or @ the model still looks: no kind is without one.
 WINDOW, STEP, REACH = 64, 32, 24
 #: Documents to train on, about; windows, batches drawn from them, width of a direction, width of the character vectors.
-TRAIN_DOCS, TRAIN_WINDOWS, STEPS, HIDDEN, EMBED = 3_000, 2_048, 180, 16, 12
+TRAIN_DOCS, TRAIN_WINDOWS, STEPS, HIDDEN, EMBED = 3_000, 2_048, 240, 16, 12
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 _SPECIAL = "@.+-() _%:,/\n"
 _HINT = re.compile(r"[0-9@]+")
@@ -178,7 +178,7 @@ def _lstm_back(p: dict[str, np.ndarray], d: str, e: np.ndarray, kept: dict, dh_a
 
 
 def train(x: np.ndarray, y: np.ndarray, steps: int = STEPS, hidden: int = HIDDEN, embed: int = EMBED, seed: int = 7, batch: int = 64,
-          rate: float = 0.015) -> Model:
+          rate: float = 0.02) -> Model:
     """Fit class windows x to tag windows y (both windows * WINDOW) with Adam. Without windows, all is O."""
     rng = np.random.default_rng(seed)
     draw = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
