@@ -15,6 +15,8 @@ SALTS = 64
 _CARRIED = ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.adaptive.enabled")
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Each partition's files leave the executor's disk when its task has committed them to the checkpoint folder.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
 }
