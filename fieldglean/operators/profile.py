@@ -42,6 +42,12 @@ def long_form(df: DataFrame, cols: Sequence[str], value_type: str, key: str = "c
     return df.select(F.inline(pairs))
 
 
+def present(c: str) -> Column:
+    """The column as a double, NaN counting as missing."""
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``(column_name, prob, quantile)`` with linear interpolation, exact at any size.
 
@@ -51,10 +57,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     should miss the rank the query fails instead of returning a wrong value.
     """
     points = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-_BRACKET, _BRACKET)})
-    num = {c: F.col(c).cast("double") for c in cols}
+    num = {c: present(c) for c in cols}
     # One row of a few numbers per column comes to the driver, whatever the size of the data.
     s = df.agg(*[F.struct(
-        F.count(c).alias("n"), F.min(num[c]).alias("lo"), F.max(num[c]).alias("hi"),
+        F.count(num[c]).alias("n"), F.min(num[c]).alias("lo"), F.max(num[c]).alias("hi"),
         F.percentile_approx(num[c], points, _SKETCH_ACCURACY).alias("q")).alias(c) for c in cols]).first()
     # Among few rows the neighbour of a rank lies outside the margin: the bracket is then the whole column.
     sure = lambda c: s[c]["n"] * _BRACKET >= 4
@@ -96,7 +102,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum, one row per numeric column."""
     stats = {"cnt": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    once = df.agg(*[F.struct(*[f(F.col(c).cast("double")).alias(n) for n, f in stats.items()]).alias(c) for c in cols])
+    once = df.agg(*[F.struct(*[f(present(c)).alias(n) for n, f in stats.items()]).alias(c) for c in cols])
     rows = once.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[F.col(c)[n].alias(n) for n in stats]) for c in cols])))
     q = (exact_quantiles(df, cols, (0.25, 0.5, 0.75)).groupBy("column_name").agg(
@@ -111,7 +117,8 @@ def describe(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> D
 
 def null_counts(df: DataFrame) -> DataFrame:
     """``(column_name, nulls)`` for all columns in one pass."""
-    once = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    missing = {c: F.col(c).isNull() | F.isnan(c) if t in ("double", "float") else F.col(c).isNull() for c, t in df.dtypes}
+    once = df.agg(*[F.count_if(F.coalesce(m, F.lit(True))).alias(c) for c, m in missing.items()])
     return once.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in df.columns])))
 
@@ -126,7 +133,7 @@ def table_info(df: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, c: str, bins: int = 50) -> DataFrame:
     """Equal-width bins from minimum to maximum, last bin closed, empty bins kept."""
-    v = F.col(c).cast("double")
+    v = present(c)
     # Minimum and maximum come from a scalar subquery: one pass, one row, no join.
     edge = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
     lo, hi = edge["lo"], edge["hi"]

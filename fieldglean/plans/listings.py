@@ -93,7 +93,7 @@ def clean_bizquest(df: DataFrame, exact: bool, run_year: int) -> DataFrame:
 
 
 def clean_business_for_sale(df: DataFrame, exact: bool, run_year: int) -> DataFrame:
-    place = S.county_state_country("location")
+    place = S.county_state_country("address")
     df = df.withColumns({"county": place["county"], "state": place["state"], "country": place["country"]})
     for field, prefix in (("asking_price", "asking_price"), ("sales_revenue", "sales_revenue"), ("cash_flow", "cash_flow")):
         r = S.amount_range(field, exact)
@@ -204,7 +204,8 @@ def listing_rows(pages: DataFrame, site: str) -> DataFrame:
     if site == "wesellrestaurants":
         rows = rows.filter("row_id is not null").drop("row_id")
     if site == "franchiseflippers":
-        rows = rows.withColumns({"url": F.substr("onclick", F.lit(5), F.length("onclick") - 6)}).drop("onclick")
+        rows = rows.withColumns({"url": F.substr("onclick", F.lit(5), F.length("onclick") - 6),
+                                 "asking_price": S.to_int(S.cut_prefix("price", 1))}).drop("onclick", "price")
     if site == "nationalfranchisesales":
         rows = rows.withColumn("listing_number", S.strip(F.split_part("data_href", F.lit("/"), F.lit(3)))).drop("data_href")
     if "href" in fields:

@@ -62,16 +62,16 @@ def email_contacts(spark, sf):
 
 @query("numbers_min_max_mid", """
     WITH v AS (SELECT doc_id, unnest(regexp_extract_all(text, '([0-9]+)', 1)) AS n FROM documents),
-         a AS (SELECT doc_id, min(CAST(n AS BIGINT)) AS lo, max(CAST(n AS BIGINT)) AS hi FROM v WHERE length(n) <= 9 GROUP BY 1)
-    SELECT doc_id, lo, hi, CAST((lo + hi) // 2 AS VARCHAR) || CASE WHEN (lo + hi) % 2 = 0 THEN '.0' ELSE '.5' END || ' sq. ft.' AS mid
+         a AS (SELECT doc_id, min(CAST(n AS HUGEINT)) AS lo, max(CAST(n AS HUGEINT)) AS hi FROM v GROUP BY 1)
+    SELECT doc_id, CAST(lo AS VARCHAR) AS lo, CAST(hi AS VARCHAR) AS hi, CAST((lo + hi) // 2 AS VARCHAR) || CASE WHEN (lo + hi) % 2 = 0 THEN '.0' ELSE '.5' END || ' sq. ft.' AS mid
     FROM a""")
 def numbers_min_max_mid(spark, sf):
-    found = F.filter(F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1)), lambda x: F.length(x) <= 9)
-    n = F.transform(found, lambda x: x.cast("bigint"))
+    found = F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1))
+    n = F.transform(found, lambda x: x.cast("decimal(37,0)"))
     per_page = _docs(spark, sf).select("doc_id", F.array_min(n).alias("lo"), F.array_max(n).alias("hi"))
     area = per_page.filter("lo is not null").groupBy("doc_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     mid = F.format_string("%s sq. ft.", half_text(F.col("lo") + F.col("hi")))
-    return area.select("doc_id", "lo", "hi", mid.alias("mid"))
+    return area.select("doc_id", F.col("lo").cast("string").alias("lo"), F.col("hi").cast("string").alias("hi"), mid.alias("mid"))
 
 
 _SCORED = {"the": "the", "und": "und", "les": "les", "ment": "ment"}

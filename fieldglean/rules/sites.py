@@ -167,7 +167,7 @@ def _listing_rules() -> list[dict]:
     item = lambda ul, li: f"div[2]/ul[{ul}]/li[{li}]/span[1]"
     row("murphybusiness", '//*[@id="list_div"]/div[1]', "div", {
         "title": ("h2[1]/a[1]", "own"), "link": ("h2[1]/a[1]", "@href"), "status": (item(1, 1), "own"), "relocatable": (item(1, 2), "own"),
-        "state": (item(2, 1), "own"), "price": (item(2, 2), "own"), "listing_id": (item(2, 3), "own"), "down_payment": (item(3, 1), "own"),
+        "state": (item(2, 1), "own"), "price": (item(2, 2), "own"), "listing_number": (item(2, 3), "own"), "down_payment": (item(3, 1), "own"),
         "discretionary_earnings": (item(3, 2), "own"), "total_sales": (item(3, 3), "own")}, skip_first=3)
     rules.append(rule("franchiseresales", "href", '//*[@id="div_block-14-52357"]/div/div[1]/div[1]/a', part="rows", mode="@href",
                       depth=4, skip_at=1, skip_first=3))

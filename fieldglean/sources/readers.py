@@ -67,7 +67,8 @@ def read_csv_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
 
     Files may have different headers, so they are grouped by header line and each group is one
     scan. The driver sees one row per distinct header with its list of files, not the data. A file
-    without a readable first line is rejected.
+    without a readable first line is rejected. Quoted fields may hold line breaks, so a file is read by one task. A row with
+    more or fewer fields than its header is left out, and its file is listed with the reason.
     """
     lines = spark.read.option("wholetext", False).text(f"{folder}/*.csv").select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
@@ -82,16 +83,22 @@ def read_csv_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
     frames = []
     for header, paths in groups.orderBy("header").collect():
         names = next(csv.reader([header]))
-        schema = T.StructType([T.StructField(n or f"_c{i}", T.StringType()) for i, n in enumerate(names)])
+        schema = T.StructType([T.StructField(n or f"_c{i}", T.StringType()) for i, n in enumerate(names)] + [T.StructField("__bad", T.StringType())])
+        # The mark reads the other fields too: a scan of the record of broken rows alone is refused.
         frames.append(spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-                      .option("ignoreCorruptFiles", True).csv(paths)
-                      .select("*", F.col("_metadata.file_path").alias("__path"),
+                      .option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__bad").csv(paths)
+                      .select(*schema.names[:-1], F.when(F.col("__bad").isNotNull(), F.try_add(
+                          F.length(F.concat_ws("", *schema.names[:-1])), F.lit(1))).alias("__bad"),
+                              F.col("_metadata.file_path").alias("__path"),
                               F.col("_metadata.file_block_start").alias("__start"),
                               F.monotonically_increasing_id().alias("__m")))
     rejected = named.filter(~usable).select("path", F.lit("no header line").alias("reason"))
     if not frames:
         return spark.createDataFrame([], "__path string, __start bigint, __m bigint"), rejected
-    return union_by_name(*frames), rejected
+    rows = union_by_name(*frames)
+    broken = rows.filter("__bad is not null").select(
+        F.regexp_replace("__path", "^file:/+", "/").alias("path"), F.lit("row with another number of fields than the header").alias("reason"))
+    return rows.filter("__bad is null").drop("__bad"), rejected.unionByName(broken.distinct())
 
 
 def number_folder_rows(df: DataFrame, name: str, offset: int = 0) -> DataFrame:

@@ -152,7 +152,7 @@ def test_listing_rows(spark):
     tr = '//*[@id="listing-tables"]/div/div/table/tbody/tr'
     p = Page().put(f"{tr}[1]", id="F1", onclick="go('https://e.example/1')").put(f"{tr}[1]/td[2]/a", "Shop").put(f"{tr}[1]/td[4]", "$5,000").put(f"{tr}[1]/td[7]", "ST")
     got = one(listings.listing_rows(pages(spark, [p.html()]), "franchiseflippers"))
-    assert (got["listing_number"], got["title"], got["price"], got["county"], got["state"]) == ("F1", "Shop", "$5,000", None, "ST")
+    assert (got["listing_number"], got["title"], got["asking_price"], got["county"], got["state"]) == ("F1", "Shop", 5000, None, "ST")
     assert got["url"] == "https://e.example/1"
     tr = '//*[@id="listings-table"]/tbody/tr'
     p = Page().put(f"{tr}[2]/td[1]", data_href="/listing/881 ").put(f"{tr}[2]/td[1]/a[2]", "Brand").put(f"{tr}[2]/td[5]/span", "Open")
@@ -180,7 +180,7 @@ def test_murphy_rows_and_blocks(spark):
     p.at(f"{d}/div[4]").child("p", 2).text = "Old"
     p.at(f"{d}/div[4]").child("p", 3).text = "Town"
     got = one(listings.murphy_listings(pages(spark, [p.html()])))
-    assert (got["title"], got["link"], got["price"], got["listing_id"]) == ("Bakery", "/m1", 1000.0, "M1")
+    assert (got["title"], got["link"], got["price"], got["listing_number"]) == ("Bakery", "/m1", 1000.0, "M1")
     assert got["category"] == "Food" and got["description"] == "OldTown"
 
 

@@ -289,3 +289,19 @@ def test_null_reports(spark):
     assert rows(profile.null_counts(df), "column_name") == [("a", 1), ("b", 2)]
     assert rows(profile.table_info(df), "column_name") == [("a", "int", 1, 2), ("b", "string", 0, 2)]
     assert profile.all_null_columns(df, ["a", "b"]).first().all_null == 1
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (4.0,), (None,)], "x double")
+    r = profile.describe(df, ["x"]).first()
+    assert (r["cnt"], r["min"], r["max"], r["q50"]) == (3, 1.0, 4.0, 2.0) and abs(r["mean"] - 7 / 3) < 1e-12
+    assert {b["bin"]: b["count"] for b in profile.histogram(df, "x", 3).collect()} == {0: 1, 1: 1, 2: 1}
+    assert profile.null_counts(df).first()["nulls"] == 2
+
+
+def test_broken_rows_are_listed_and_quoted_breaks_kept(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"two\nlines"\n5,6,7\n8\n')
+    (tmp_path / "b.csv").write_text("x,y\n9,10\n")
+    rows, rejected = readers.read_csv_folder(spark, str(tmp_path))
+    assert sorted((r.x, r.y) for r in rows.collect()) == [("1", "two\nlines"), ("9", "10")]
+    assert [r.path.rsplit("/", 1)[-1] for r in rejected.collect()] == ["a.csv"]
