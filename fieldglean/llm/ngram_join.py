@@ -22,6 +22,8 @@ BUCKET_SHINGLES, FLUSH = 2_000_000, 1_000_000
 #: Shingles that this share of a sample of about so many documents holds are not counted but put last in the order of rarity
 #: at once. The sample bears on how evenly the work is dealt, not on what is found.
 HOT_SHARE, HOT_SAMPLE = 0.01, 4_000
+#: Leaders that a set is compared with.
+LEADERS = 4
 _U = np.uint64
 _LOW = _U((1 << 48) - 1)
 
@@ -203,8 +205,9 @@ def _linked(percent: int):
 def links(candidates: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between linked sets that connect all linked sets, without all pairs of a group.
 
-    1. Each set is compared with one leader, the first set of most of its lists. If they are linked and the leader has no leader
-       itself, the set becomes a member of the leader's group at a known distance.
+    1. Each set is compared with its leader, the first set of most of its lists. If they are linked and the leader has no leader
+       itself, the set becomes a member of the leader's group at a known distance. It is compared with the next few leaders too,
+       whose links may connect it already.
     2. A list is cut in blocks: the entries of a group of like size. Two blocks of a list meet only if their sizes and best
        positions still allow the overlap. The leaders of groups that meet are compared.
     3. Leaders that these links connect need no more. By the triangle inequality (1 - Jaccard is a metric) members of others further from their leaders than the distance of the
@@ -214,8 +217,10 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
     lists = written(index(candidates, percent), "join-lists")
     first = lists.groupBy("token").agg(F.min("set_id").alias("leader"))
     votes = lists.join(first, "token").groupBy("set_id", "leader").agg(F.count("*").alias("votes"))
-    asked = votes.where("leader <> set_id").groupBy("set_id").agg(F.max(F.struct("votes", "leader"))["leader"].alias("b"))
-    told = written(overlaps(asked.select(F.col("set_id").alias("a"), "b"), candidates).where(_linked(percent)), "join-leaders")
+    ranked = votes.where("leader <> set_id").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("votes", "leader")), False).alias("leaders"))
+    asked = ranked.select(F.col("set_id").alias("a"), F.posexplode(F.slice("leaders", 1, LEADERS)).alias("rank", "l")).select("a", "rank", F.col("l.leader").alias("b"))
+    every = written(overlaps(asked, candidates).where(_linked(percent)).join(asked, ["a", "b"]), "join-leaders")
+    told = every.where("rank = 0")
     member = told.join(told.select(F.col("a").alias("b")), "b", "left_anti").select(
         F.col("a").alias("set_id"), F.col("b").alias("root"), "distance")
     member = written(member, "join-members")
@@ -239,7 +244,7 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
         F.col("far")).alias("far_a"), F.when(swap, F.col("far")).otherwise(F.col("far_2")).alias("far_b"))
     pairs = written(pairs.groupBy("a", "b").agg(F.max("far_a").alias("far_a"), F.max("far_b").alias("far_b")), "join-pairs")
     roots = written(overlaps(pairs, candidates).withColumn("ok", _linked(percent)), "join-roots")
-    joined = written(components(told.select("a", "b").unionByName(roots.where("ok").select("a", "b"))), "join-groups")
+    joined = written(components(every.select("a", "b").unionByName(roots.where("ok").select("a", "b"))), "join-groups")
     ends = [joined.select(F.col("node").alias(c), F.col("component").alias(f"group_{c}")) for c in "ab"]
     apart = roots.where("not ok").join(ends[0], "a", "left").join(ends[1], "b", "left").where(
         F.coalesce("group_a", "a") != F.coalesce("group_b", "b")).select("a", "b", "distance")

@@ -15,9 +15,9 @@ from fieldglean.llm.common import mix, pick, prepare, rolling, word_hashes, writ
 from fieldglean.session import parallelism
 
 #: Words of a window, and of the anchors in it: every window has the same anchor wherever it occurs, its run of this many words
-#: with the least hash. Words that one automaton holds, about; segments of an anchor above which its windows go separate ways.
+#: with the least hash. Words that one automaton holds, about.
 WINDOW, ANCHOR = 50, 16
-SHARD_WORDS, WIDE = 150_000, 200
+SHARD_WORDS = 150_000
 _U = np.uint64
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -151,7 +151,7 @@ def _shared(found: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, key: str = "doc_id", text: str = "text",
-                   shard_words: int = SHARD_WORDS, wide: int = WIDE, outputs: tuple[str, ...] = ("n_words", "n_removed", "kept_sha256")) -> DataFrame:
+                   shard_words: int = SHARD_WORDS, outputs: tuple[str, ...] = ("n_words", "n_removed", "kept_sha256")) -> DataFrame:
     """Per row: key and the asked outputs (n_words, n_removed, kept_sha256, kept_text).
 
     Words are runs of anything but ASCII white space. A word goes if a run of `window` words that covers it also starts in a document
@@ -162,7 +162,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     Only segments whose anchor occurs in two documents take part, each distinct one once, with its smallest document. They are dealt to
     shards by anchor, so all occurrences of a window meet in one shard. A shard's automaton is made in the task that streams
     the shard's segments through it: references grow with the corpus, so sending each automaton to all tasks would be
-    quadratic. The windows of an anchor with very many segments are dealt by their own hash instead.
+    quadratic. The windows of an anchor whose segments alone would overfill a shard are dealt by their own hash instead.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -183,10 +183,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     fields = "anchor long, content long, doc long, rid int, start int, n int"
     found = rows.where("doc is not null").mapInArrow(scan, fields)
     found = written(_shared(found), "substring-segments")
-    contents = found.groupBy("anchor", "content").agg(F.count("*").alias("copies")).groupBy("anchor").agg(F.count("*").alias("n_contents"))
-    many = written(contents.where(F.col("n_contents") > wide).select("anchor"), "substring-wide")
-    apart = _fetch(rows, _by_document(found.join(many, "anchor", "left_semi")), window, True).drop("words")
-    found = written(found.join(many, "anchor", "left_anti").unionByName(_shared(apart)), "substring-segments")
+    contents = found.groupBy("anchor", "content").agg(F.max("n").alias("n")).groupBy("anchor").agg(F.sum(F.col("n") + window - 1).alias("size"))
+    many = written(contents.where(F.col("size") > shard_words).select("anchor"), "substring-wide")
+    if not many.isEmpty():
+        apart = _fetch(rows, _by_document(found.join(many, "anchor", "left_semi")), window, True).drop("words")
+        found = written(found.join(many, "anchor", "left_anti").unionByName(_shared(apart)), "substring-segments")
     distinct = written(found.groupBy("anchor", "content").agg(F.min(F.struct("doc", "rid", "start", "n")).alias("s")).select(
         "anchor", "content", "s.*"), "substring-distinct")
     total = distinct.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
