@@ -85,10 +85,12 @@ def train(samples: DataFrame) -> list[float]:
 
 
 def ratio(token: Column, model: list[float]) -> Column:
-    """The sum of the model over a token's pairs of characters."""
-    table = F.transform(F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ","), lambda x: x.cast("double"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda acc, i: acc + F.element_at(
-        table, F.ascii(F.substring(token, i, F.lit(1))) * _CODES + F.ascii(F.substring(token, i + 1, F.lit(1))) + 1))
+    """The sum of the model over a token's pairs of characters. The model is one array literal (a cast folds, a lambda would not)."""
+    table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
+    characters = F.split(token, "")
+    pairs = F.zip_with(characters, F.slice(characters, 2, F.length(token)), lambda a, b: F.when(
+        b.isNull() | (b == ""), 0.0).otherwise(F.element_at(table, F.ascii(a) * _CODES + F.ascii(b) + 1)))
+    return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x)
 
 
 def scan(docs: DataFrame, model: list[float], key: str = "doc_id", text: str = "text") -> DataFrame:
