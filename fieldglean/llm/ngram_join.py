@@ -22,8 +22,8 @@ BUCKET_SHINGLES, FLUSH = 2_000_000, 1_000_000
 #: Shingles that this share of a sample of about so many documents holds are not counted but put last in the order of rarity
 #: at once. The sample bears on how evenly the work is dealt, not on what is found.
 HOT_SHARE, HOT_SAMPLE = 0.01, 4_000
-#: Leaders that a set is compared with.
-LEADERS = 4
+#: Leaders that a set is compared with; shingles of a block of a group whose members are compared, about.
+LEADERS, BLOCK_SHINGLES = 4, 400_000
 _U = np.uint64
 _LOW = _U((1 << 48) - 1)
 
@@ -202,6 +202,55 @@ def _linked(percent: int):
     return 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
 
 
+def compare_members(near: DataFrame, member: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between members of groups whose leaders `near(a, b, apart, far_a, far_b)` holds. Of each pair the larger group is
+    held in blocks of bounded size and the sets of the smaller stream past them, so no row is made for a pair of sets. A group is
+    connected already: a set needs one link to a block at most."""
+    limit = 1 - percent / 100
+    sets = candidates.select("set_id", "n").join(member, "set_id", "left").select(
+        "set_id", "n", F.coalesce("root", "set_id").alias("root"), F.coalesce("distance", F.lit(0.0)).alias("distance"))
+    sizes = sets.groupBy("root").agg(F.sum("n").alias("size"))
+    for side in "ab":
+        near = near.join(sizes.select(F.col("root").alias(side), F.col("size").alias(f"size_{side}")), side)
+    held = F.col("size_a") >= F.col("size_b")
+    near = written(near.select(
+        F.when(held, F.col("a")).otherwise(F.col("b")).alias("held"), F.when(held, F.col("b")).otherwise(F.col("a")).alias("root"),
+        F.when(held, F.col("far_a")).otherwise(F.col("far_b")).alias("far"), F.greatest("size_a", "size_b").alias("size"), "apart"), "join-near")
+    asking = written(near.join(sets, "root").where(F.col("distance") + F.col("far") >= F.col("apart") - limit - 1e-9).select(
+        "held", "set_id", "n", "size", (F.col("apart") - F.col("distance") - limit - 1e-9).alias("least")), "join-asking")
+    # Both sides of a task are bounded: the held group is cut in blocks, those that ask it in parts.
+    cuts = asking.groupBy(F.col("held").alias("root")).agg(F.ceil(F.max("size") / BLOCK_SHINGLES).cast("long").alias("blocks"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("parts"))
+    blocks = sets.join(cuts, "root").select(
+        F.col("root").alias("held"), F.pmod(F.xxhash64("set_id"), "blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "set_id", "distance")
+    asking = asking.join(cuts.withColumnRenamed("root", "held"), "held").select("held", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.pmod(
+        F.xxhash64("set_id"), "parts").cast("int").alias("part"), "set_id", "least")
+    tokens = candidates.select("set_id", "n", "tokens")
+
+    def compare(kept: pa.Table, asked: pa.Table) -> pa.Table:
+        out = []
+        if kept.num_rows and asked.num_rows:
+            ids, distance, n = (kept.column(c).to_numpy() for c in ("set_id", "distance", "n"))
+            lists = kept.column("tokens").combine_chunks()
+            flat = lists.flatten().to_numpy()
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))[order]
+            for set_id, size, least, own in zip(asked.column("set_id").to_pylist(), asked.column("n").to_pylist(), asked.column("least").to_pylist(), asked.column("tokens")):
+                may = (distance >= least) & (n * 100 >= size * percent) & (size * 100 >= n * percent)
+                if may.any():
+                    own = own.values.to_numpy()
+                    at, end = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+                    count = end - at
+                    places = np.arange(count.sum()) + np.repeat(at - np.append(0, np.cumsum(count)[:-1]), count)
+                    common = np.bincount(owner[places], minlength=len(ids))
+                    hit = np.flatnonzero(may & (100 * common >= percent * (n + size - common)))
+                    if len(hit):
+                        out.append((ids[hit[0]], set_id))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    key = ["held", "block", "part"]
+    return blocks.join(tokens, "set_id").groupBy(*key).cogroup(asking.join(tokens, "set_id").groupBy(*key)).applyInArrow(compare, "a long, b long")
+
+
 def links(candidates: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between linked sets that connect all linked sets, without all pairs of a group.
 
@@ -211,7 +260,7 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
     2. A list is cut in blocks: the entries of a group of like size. Two blocks of a list meet only if their sizes and best
        positions still allow the overlap. The leaders of groups that meet are compared.
     3. Leaders that these links connect need no more. By the triangle inequality (1 - Jaccard is a metric) members of others further from their leaders than the distance of the
-       leaders less the limit remain; only these are compared.
+       leaders less the limit remain; only these are compared, in blocks (`compare_members`).
     """
     limit = 1 - percent / 100
     lists = written(index(candidates, percent), "join-lists")
@@ -249,16 +298,8 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
     apart = roots.where("not ok").join(ends[0], "a", "left").join(ends[1], "b", "left").where(
         F.coalesce("group_a", "a") != F.coalesce("group_b", "b")).select("a", "b", "distance")
     near = apart.join(pairs, ["a", "b"]).where(
-        (F.col("far_a") + F.col("far_b") > 0) & (F.col("distance") - F.col("far_a") - F.col("far_b") <= limit + 1e-9)).select(
-        "a", "b", "far_b", F.col("distance").alias("apart"))
-    sets = candidates.select("set_id", "n").join(member, "set_id", "left").select(
-        "set_id", "n", F.coalesce("root", "set_id").alias("root"), F.coalesce("distance", F.lit(0.0)).alias("distance"))
-    x, y = [sets.select(F.col("root").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("set_id", "n", "distance")]) for side in "ab"]
-    inner = near.join(x, "a").where(F.col("distance_a") + F.col("far_b") >= F.col("apart") - limit - 1e-9).join(y, "b").where(
-        (F.col("distance_a") + F.col("distance_b") >= F.col("apart") - limit - 1e-9)
-        & (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-        & ((F.col("distance_a") > 0) | (F.col("distance_b") > 0))).select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
-    inner = overlaps(inner, candidates).where(_linked(percent))
+        (F.col("far_a") + F.col("far_b") > 0) & (F.col("distance") - F.col("far_a") - F.col("far_b") <= limit + 1e-9))
+    inner = compare_members(near.withColumnRenamed("distance", "apart"), member, candidates, percent)
     return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(inner.select("a", "b"))
 
 

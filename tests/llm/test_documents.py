@@ -61,7 +61,9 @@ def test_join_on_the_small_table(spark, sf_dir, texts):
     assert plain_rows(got) == [tuple(r) for r in plain_rows(spark.createDataFrame(join_by_force(texts), got.schema))]
 
 
-def test_join_of_many_near_copies_around_the_limit(make_docs):
+@pytest.mark.parametrize("block", [ngram_join.BLOCK_SHINGLES, 300])
+def test_join_of_many_near_copies_around_the_limit(make_docs, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
     rng = random.Random(3)
     base, texts = [f"w{i}" for i in range(60)], []
     for d in range(150):
