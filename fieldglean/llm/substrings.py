@@ -116,28 +116,29 @@ class Automaton:
 
 def _fetch(rows: DataFrame, wanted: DataFrame, window: int, split: bool) -> DataFrame:
     """The words of wanted segments: `wanted(doc, rid, want array<struct<anchor, content, start, n>>)` joined to the texts. With `split`,
-    a row per window, whose anchor and content are the window's own hash."""
+    a row per document and distinct window, whose anchor and content are the window's own hash; `more` lists its further places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, rid, text, want in zip(*[c.to_pylist() for c in batch.columns]):
                 words = word_hashes(text)
-                whole = rolling(words, window).view(np.int64) if split else None
-                out = {"anchor": [], "content": [], "doc": [], "rid": [], "start": [], "n": [], "words": []}
-                for w in want:
-                    for a, n in ([(w["start"] + i, 1) for i in range(w["n"])] if split else [(w["start"], w["n"])]):
-                        out["anchor"].append(whole[a] if split else w["anchor"])
-                        out["content"].append(whole[a] if split else w["content"])
-                        out["start"].append(a)
-                        out["n"].append(n)
-                        out["words"].append(b"" if split else words[a:a + n + window - 1].tobytes())
-                k = len(out["n"])
-                out["doc"], out["rid"] = [doc] * k, [rid] * k
-                kinds = {"words": pa.binary(), "start": pa.int32(), "n": pa.int32(), "rid": pa.int32()}
-                yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()], list(out))
+                if split:
+                    whole = rolling(words, window).view(np.int64)
+                    places: dict[int, list[int]] = {}
+                    for w in want:
+                        for a in range(w["start"], w["start"] + w["n"]):
+                            places.setdefault(int(whole[a]), []).append(a)
+                    made = [(h, h, at[0], 1, at[1:]) for h, at in places.items()]
+                else:
+                    made = [(w["anchor"], w["content"], w["start"], w["n"], words[w["start"]:w["start"] + w["n"] + window - 1].tobytes()) for w in want]
+                anchors, contents, starts, counts, last = zip(*made)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchors, pa.int64()), pa.array(contents, pa.int64()), pa.array([doc] * len(made), pa.int64()), pa.array([rid] * len(made), pa.int32()),
+                     pa.array(starts, pa.int32()), pa.array(counts, pa.int32()), pa.array(last, pa.list_(pa.int32()) if split else pa.binary())],
+                    ["anchor", "content", "doc", "rid", "start", "n", "more" if split else "words"])
 
     joined = rows.join(wanted, ["doc", "rid"]).select("doc", "rid", "t", "want")
-    return joined.mapInArrow(run, "anchor long, content long, doc long, rid int, start int, n int, words binary")
+    return joined.mapInArrow(run, "anchor long, content long, doc long, rid int, start int, n int, " + ("more array<int>" if split else "words binary"))
 
 
 def _by_document(found: DataFrame) -> DataFrame:
@@ -182,11 +183,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     fields = "anchor long, content long, doc long, rid int, start int, n int"
     found = rows.where("doc is not null").mapInArrow(scan, fields)
-    found = written(_shared(found), "substring-segments")
+    found = written(_shared(found).withColumn("more", F.array().cast("array<int>")), "substring-segments")
     contents = found.groupBy("anchor", "content").agg(F.max("n").alias("n")).groupBy("anchor").agg(F.sum(F.col("n") + window - 1).alias("size"))
     many = written(contents.where(F.col("size") > shard_words).select("anchor"), "substring-wide")
     if not many.isEmpty():
-        apart = _fetch(rows, _by_document(found.join(many, "anchor", "left_semi")), window, True).drop("words")
+        apart = written(_fetch(rows, _by_document(found.join(many, "anchor", "left_semi")), window, True), "substring-windows")
         found = written(found.join(many, "anchor", "left_anti").unionByName(_shared(apart)), "substring-segments")
     distinct = written(found.groupBy("anchor", "content").agg(F.min(F.struct("doc", "rid", "start", "n")).alias("s")).select(
         "anchor", "content", "s.*"), "substring-distinct")
@@ -208,8 +209,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     words = _fetch(rows, _by_document(distinct), window, False).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     told = words.groupBy("shard").applyInArrow(match, "anchor long, content long, first array<long>")
     # Windows of a segment that start in a smaller document, as places in the text.
-    gone = found.join(told, ["anchor", "content"]).select("doc", "rid", F.filter(F.transform("first", lambda x, i: F.when(
-        x < F.col("doc"), F.col("start") + i)), lambda x: x.isNotNull()).alias("gone")).where(F.size("gone") > 0)
+    starts = F.concat(F.array("start"), "more")
+    gone = found.join(told, ["anchor", "content"]).select("doc", "rid", F.flatten(F.transform(starts, lambda s: F.filter(F.transform(
+        "first", lambda x, i: F.when(x < F.col("doc"), s + i)), lambda x: x.isNotNull()))).alias("gone")).where(F.size("gone") > 0)
     gone = gone.groupBy("doc", "rid").agg(F.flatten(F.collect_list("gone")).alias("gone"))
     kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept_text": pa.string()}
 
