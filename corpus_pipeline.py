@@ -17,32 +17,58 @@ LEAST_SCORE = 0.2
 ORACLE_SQL = None
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The columns of the pipeline and `row`, which tells each row from all others, those with equal ids or texts included.
+
+    It is the row's file and place in it, so it stays the same however often and in whatever parts the files are read. A
+    table that is not just a Parquet folder or file as it stands is written once for that.
+    """
+    if not _is_scan(docs):
+        docs = written(pick(docs, *COLUMNS), "pipeline-rows")
+    place = docs.metadataColumn("_metadata")
+    row = F.struct(place["file_path"].alias("file"), place["row_index"].alias("place")).alias("row")
+    return pick(docs.select(row, "*"), "row", *COLUMNS)
+
+
+def _is_scan(docs: DataFrame) -> bool:
+    """Whether a table is one Parquet path as it stands: in others (unions, joins, a path given twice) places may repeat."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    relation = plan.relation()
+    return (relation.getClass().getSimpleName() == "HadoopFsRelation" and relation.fileFormat().toString() == "Parquet"
+            and relation.location().rootPaths().length() == 1)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that are written in a learned language. Rows with a null or repeated doc_id are judged as one
-    text each: a repeated doc_id stays if any of its texts does."""
-    model = language.train(docs.where(~language.held_out("doc_id")))
-    told = language.predict(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return _semi(pick(docs, *COLUMNS), told.select("doc_id"))
+    """Keep the documents that are written in a learned language. Each row is judged by its own text."""
+    rows = numbered(docs)
+    model = language.train(rows.where(~language.held_out("doc_id")))
+    told = language.predict(rows, model, key="row").where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return _semi(rows, told)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest doc_id stays; rows that repeat a doc_id with the same text become one."""
-    kept = dedup.exact_duplicates(docs).where("kept").select("doc_id", "text_sha256").distinct()
-    rows = pick(docs, *COLUMNS).withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["text_sha256"] == kept["text_sha256"]), "left_semi")
-    return rows.select(*COLUMNS)
+    """Of equal texts, one row stays: the one with the largest doc_id, of several of these (or of null ids only) the last."""
+    rows = numbered(docs)
+    keyed = rows.select(F.struct("doc_id", "row").alias("key"), "text")
+    return _semi(rows, dedup.exact_duplicates(keyed, key="key").where("kept").select("key.row"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the n-gram join stays: the one with the smallest doc_id."""
-    groups = ngram_join.jaccard_components(docs)
-    return _semi(pick(docs, *COLUMNS), groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"))
+    """One row of each component of the n-gram join stays: the one with the smallest doc_id, of several of these (or of null
+    ids only) the first. Rows without words are a component each."""
+    rows = numbered(docs)
+    keyed = rows.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row").alias("key"), "text")
+    groups = ngram_join.jaccard_components(keyed, key="key")
+    return _semi(rows, groups.where(F.col("key") == F.col("component_id")).select("key.row"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources: each document as often as the mix takes it, or not at all."""
-    taken = mixing.mix(docs).where("times > 0").groupBy(F.col("doc_id").alias("k")).agg(F.max("times").alias("times"))
-    rows = pick(docs, *COLUMNS).join(taken, F.col("doc_id").eqNullSafe(F.col("k")))
+    """The mix of sources: each row as often as the mix takes it, or not at all."""
+    rows = numbered(docs)
+    taken = mixing.mix(rows, tie="row").where("times > 0").select("row", "times")
+    rows = rows.join(taken, "row")
     return rows.select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy")).select(*COLUMNS)
 
 
@@ -54,9 +80,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.tokenize(docs, ranks, public_tokenizers.PATTERN, ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
 
 
-def _semi(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    keys = keys.select(F.col("doc_id").alias("k")).distinct()
-    return docs.join(keys, F.col("doc_id").eqNullSafe(F.col("k")), "left_semi")
+def _semi(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    return rows.join(kept.select("row"), "row", "left_semi").select(*COLUMNS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -53,21 +53,23 @@ def targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS,
-        key: str = "doc_id", source: str = "source", text: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+        key: str = "doc_id", source: str = "source", text: str = "text", block_rows: int = BLOCK_ROWS, tie: str | None = None) -> DataFrame:
     """Per row: key, source, size (words), source_size, target, times (how often the mix takes it), taken (words).
 
     Each source is taken whole floor(target / source_size) times; then its rows in order of -ln(u) / quality (ties by
     key) once more, as long as a row's middle word lies within what is left of the target. u comes from the key alone,
     so reruns agree. Null texts have size 0; null is a source of its own; rows of size 0 are taken with a complete epoch
     or at once when their turn comes. Rows that repeat a key share a place in the order: which goes first does not
-    show, as both hold the same. An empty table gives an empty result; other columns are not looked at.
+    show, as both hold the same. A column `tie` that differs in every row settles ties of keys and is returned too. An empty
+    table gives an empty result; other columns are not looked at.
 
     A source of any size is ordered in blocks of its keys: totals per block, a prefix over blocks, then a sort inside
     each block. The blocks are even up to the ratio of the largest to the smallest quality.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    narrow = pick(docs, key, source, text).select(
-        F.col(key).alias("k"), F.col(source).alias("source"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("size"),
+    ties = [F.col(tie).alias("tie")] if tie else []
+    narrow = pick(docs, key, source, text, *([tie] if tie else [])).select(
+        *ties, F.col(key).alias("k"), F.col(source).alias("source"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("size"),
         (-F.log(uniform(F.coalesce(F.col(key).cast("string"), F.lit("")))) / quality(body)).alias("e"))
     narrow = written(narrow, "mix")
     aims = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")), weights, share, most)
@@ -81,11 +83,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     sums = rows.groupBy("source", "block").agg(F.sum("size").alias("words"))
     before = F.sum("words").over(W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
     sums = sums.select("source", "block", F.coalesce(before, F.lit(0)).alias("before"))
-    inside = F.sum("size").over(W.partitionBy("source", "block").orderBy("e", "k").rowsBetween(W.unboundedPreceding, 0))
+    inside = F.sum("size").over(W.partitionBy("source", "block").orderBy("e", "k", *(["tie"] if tie else [])).rowsBetween(W.unboundedPreceding, 0))
     rows = rows.withColumn("inside", inside).alias("r").join(
         sums.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col("r.block") == F.col("s.block"))).select("r.*", "before")
     middle = F.col("before") + F.col("inside") - F.col("size") / 2
     times = F.col("whole") + F.when(middle <= F.col("left"), 1).otherwise(0)
     times = F.least(times, F.lit(int(most))).cast("long")
-    return rows.select(F.col("k").alias(key), "source", "size", "source_size", "target", times.alias("times"),
-                       (times * F.col("size")).alias("taken"))
+    return rows.select(*([F.col("tie").alias(tie)] if tie else []), F.col("k").alias(key), "source", "size", "source_size", "target",
+                       times.alias("times"), (times * F.col("size")).alias("taken"))
