@@ -12,7 +12,7 @@ from fieldglean.llm.common import pick, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A document of which less than this share of n-grams belongs to its language is rejected, as is one without letters.
-LEAST_SCORE = 0.2
+LEAST_SCORE = 0.58
 #: SQL cannot express the language model and the tokenizer; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
@@ -41,7 +41,13 @@ def _is_scan(docs: DataFrame) -> bool:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that are written in a learned language. Each row is judged by its own text."""
+    """Keep the documents that are written in a learned language, told by LEAST_SCORE. Each row is judged by its own text.
+
+    Measured on 4,000 rows of sf0.1: of the texts of a language left out of learning, 2 of 585 (de), 76 of 2,433 (en), 0 of 360
+    (es) and 1 of 622 (fr) score 0.58 or more, some of them texts in another language than their label. Of learned languages, the
+    lowest scores are 0.69 there and on sf0.01, 0.77 on sf0.001 and 0.588 in a third of check_s (46 characters, half of them a
+    key). A shorter text that is mostly keys or numbers may score less and go.
+    """
     rows = numbered(docs)
     model = language.train(rows.where(~language.held_out("doc_id")))
     told = language.predict(rows, model, key="row").where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))

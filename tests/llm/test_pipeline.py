@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_documents import WORD, shingles
 
 import corpus_pipeline
@@ -111,3 +112,11 @@ def test_rows_of_a_path_given_twice_are_told_apart(spark, make_docs, tmp_path):
     for docs in (spark.read.parquet(path), spark.read.parquet(path, path), spark.read.parquet(path).union(spark.read.parquet(path))):
         rows = corpus_pipeline.numbered(docs)
         assert rows.count() == docs.count() == rows.select("row").distinct().count()
+
+
+@pytest.mark.parametrize("unlearned", ["fr", "en"])
+def test_an_unlearned_language_is_rejected(spark, sf_dir, unlearned):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    shown = docs.withColumn("lang", F.when(F.col("lang") != unlearned, F.col("lang")))
+    got = corpus_pipeline.identify_language(spark, shown, sf_dir)
+    assert counted(got) == counted(shown.where("lang is not null")) and got.count() < docs.count()
