@@ -120,3 +120,18 @@ def test_an_unlearned_language_is_rejected(spark, sf_dir, unlearned):
     shown = docs.withColumn("lang", F.when(F.col("lang") != unlearned, F.col("lang")))
     got = corpus_pipeline.identify_language(spark, shown, sf_dir)
     assert counted(got) == counted(shown.where("lang is not null")) and got.count() < docs.count()
+
+
+def test_stages_on_the_small_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()]
+    model = language.train(docs.where(~language.held_out("doc_id")))
+    forced = {"language_id": lambda r: language_by_force(r, model), "exact_dedup": copies_by_force, "near_dedup": near_by_force, "mixing": mix_by_force}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = corpus_pipeline.written(stage(spark, docs, sf_dir), f"small-{name}")
+        want = Counter(forced[name](rows))
+        assert counted(docs) == want, name
+        rows = list(want.elements())
+    # Bytes of all languages must come back: the digests of the tokens' bytes are those of the texts.
+    ids = Counter((r["doc_id"], r["decoded_sha256"]) for r in corpus_pipeline.encode(spark, docs, sf_dir).select("doc_id", "decoded_sha256").collect())
+    assert ids == Counter((r[0], hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in rows)
