@@ -67,11 +67,35 @@ def email_contacts(spark, sf):
     FROM a""")
 def numbers_min_max_mid(spark, sf):
     found = F.regexp_extract_all("text", F.lit("([0-9]+)"), F.lit(1))
-    n = F.transform(found, lambda x: x.cast("decimal(37,0)"))
+    # Numbers of any length go by their length without leading zeros, then as text.
+    plain = F.transform(found, lambda x: F.regexp_replace(x, "^0+(?=[0-9])", ""))
+    n = F.transform(plain, lambda x: F.struct(F.length(x).alias("digits"), x.alias("number")))
     per_page = _docs(spark, sf).select("doc_id", F.array_min(n).alias("lo"), F.array_max(n).alias("hi"))
-    area = per_page.filter("lo is not null").groupBy("doc_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    mid = F.format_string("%s sq. ft.", half_text(F.col("lo") + F.col("hi")))
-    return area.select("doc_id", F.col("lo").cast("string").alias("lo"), F.col("hi").cast("string").alias("hi"), mid.alias("mid"))
+    area = per_page.filter("lo is not null").groupBy("doc_id").agg(F.min("lo")["number"].alias("lo"), F.max("hi")["number"].alias("hi"))
+    total = F.expr("try_cast(lo as decimal(30,0))") + F.expr("try_cast(hi as decimal(30,0))")
+    half = F.when(F.length("hi") <= 30, half_text(total)).otherwise(_half_of_long("lo", "hi"))
+    return area.select("doc_id", "lo", "hi", F.format_string("%s sq. ft.", half).alias("mid"))
+
+
+def _half_of_long(lo: str, hi: str):
+    """Half the sum of two texts of digits of any length, as text: sums of 17 digits from the right, then halves from the left."""
+    step = 10**17
+    parts = F.floor(F.length(hi) / 17).cast("int") + 1
+    digits = lambda c, i: F.substring(F.lpad(c, parts * 17, "0"), i * 17 - 16, F.lit(17)).cast("bigint")
+    pairs = F.transform(F.sequence(parts, F.lit(1)), lambda i: digits(lo, i) + digits(hi, i))
+    none = F.array().cast("array<bigint>")
+
+    def add(s, x):
+        v = x + s["carry"]
+        return F.struct(F.when(v >= step, 1).otherwise(0).cast("bigint").alias("carry"), F.concat(F.array(v % step), s["out"]).alias("out"))
+
+    def halve(s, x):
+        v = x + s["rest"] * step
+        return F.struct((v % 2).alias("rest"), F.concat(s["out"], F.lpad(F.shiftright(v, 1).cast("string"), 17, "0")).alias("out"))
+
+    sums = F.aggregate(pairs, F.struct(F.lit(0).cast("bigint").alias("carry"), none.alias("out")), add)["out"]
+    half = F.aggregate(sums, F.struct(F.lit(0).cast("bigint").alias("rest"), F.lit("").alias("out")), halve)
+    return F.concat(F.regexp_replace(half["out"], "^0+(?=[0-9])", ""), F.when(half["rest"] == 0, ".0").otherwise(".5"))
 
 
 _SCORED = {"the": "the", "und": "und", "les": "les", "ment": "ment"}
