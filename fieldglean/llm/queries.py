@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with production parameters, and their SQL where SQL can express them."""
+"""The registered queries of the operators, with production parameters, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldglean.llm import bpe, dedup, embeddings, language, mixing, ngram_join, pii, secrets, substrings, urls
+from fieldglean.llm import alignment, bpe, conversations, dedup, embeddings, language, main_text, mixing, ngram_join, pii, secrets, substrings, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +140,21 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (bpe.read_ranks(public_tokenizers.path(f)) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), a, b)
+
+
+@query("op13_main_text")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
