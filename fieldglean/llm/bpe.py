@@ -19,6 +19,10 @@ PIECE_CHARS = 100_000
 #: No match of the pattern crosses the place between a non-space and a single space or line break that another
 #: non-space follows: white space can only begin a match there, and nothing looks back.
 _SAFE = re.compile(r"\S(?=[ \n]\S)")
+#: Longer runs of white space (of Unicode) are matched here: the pattern's engine would need a stack as deep as the run.
+LONG_SPACE = 1000
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LONG_SPACE = re.compile(f"[{_SPACES}]{{{LONG_SPACE},}}")
 TYPES = {"ids": "array<int>", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
 _encodings: dict[tuple[str, str], object] = {}
 
@@ -53,7 +57,15 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
 
 
 def encode_text(enc, text: str, limit: int = PIECE_CHARS) -> np.ndarray:
-    parts = [np.array(enc.encode_ordinary(p), np.uint32) for p in pieces(text, limit)]
+    """Ids of a text. A match that is a long run of white space, all of it at the end of a text and all but its last character
+    before something else, goes to the merges as one piece; the pattern sees what lies between such runs."""
+    parts, at = [], 0
+    for run in _LONG_SPACE.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        parts += [np.array(enc.encode_ordinary(p), np.uint32) for p in pieces(text[at:run.start()], limit)]
+        parts.append(np.array(enc._encode_single_piece(text[run.start():end]), np.uint32))
+        at = end
+    parts += [np.array(enc.encode_ordinary(p), np.uint32) for p in pieces(text[at:] if at else text, limit)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 

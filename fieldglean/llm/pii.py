@@ -59,7 +59,7 @@ def emails(text: str) -> Iterator[Span]:
 def base_spans(text: str) -> list[Span]:
     """By kind as listed, then start. A match that fails its test is dropped and not tried again."""
     out = list(emails(text))
-    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         digits = re.sub("[^0-9]", "", m[0])
         if 16 <= len(digits) <= 19 and luhn(digits):
@@ -266,7 +266,8 @@ def model_spans(model: Model, texts: list[str]) -> list[list[Span]]:
 
 
 def training_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = TRAIN_DOCS, n_windows: int = TRAIN_WINDOWS):
-    """(x, y) from about `most` documents that have a digit or @, labelled by the base patterns: at most `n_windows` windows."""
+    """(x, y) from about `most` documents that have a digit or @, labelled by the base patterns: of all windows of these documents
+    the `n_windows` least by hash. Both numbers are parameters that bound the sample; documents that repeat a window weigh it more."""
     spark = docs.sparkSession
     prepare(spark)
     rows = pick(docs, key, text).where(F.col(text).rlike("[0-9@]"))
@@ -281,7 +282,7 @@ def training_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", m
                 known, tags = classes(t), np.zeros(len(t) + WINDOW, np.uint8)
                 for kind, a, b in base_spans(t):
                     tags[a:b], tags[a] = 2 + 2 * KINDS.index(kind), 1 + 2 * KINDS.index(kind)
-                for at in windows(len(t), [m.span() for m in _HINT.finditer(t)])[:8]:
+                for at in windows(len(t), [m.span() for m in _HINT.finditer(t)]):
                     xs.append(np.pad(known[at:at + WINDOW], (0, max(0, at + WINDOW - len(t)))).astype(np.uint8).tobytes())
                     ys.append(tags[at:at + WINDOW].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ys, pa.binary())], ["x", "y"])

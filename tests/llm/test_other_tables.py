@@ -118,7 +118,7 @@ def test_pipeline_on_odd_and_empty_tables(spark, make_docs, tmp_path):
         assert corpus_pipeline.run(spark, folder).columns[0] == "doc_id"
 
 
-def test_no_local_checkpoints_or_caps():
+def test_no_local_checkpoints():
     root = os.path.dirname(os.path.abspath(queries.__file__))
     for path in glob.glob(f"{root}/*.py"):
         assert "localCheckpoint" not in open(path).read()

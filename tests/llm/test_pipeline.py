@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
-from test_documents import WORD, shingles
+from test_text_operators import WORD, shingles
 
 import corpus_pipeline
 from fieldglean.llm import language
