@@ -24,6 +24,8 @@ BUCKET_SHINGLES, FLUSH = 2_000_000, 1_000_000
 HOT_SHARE, HOT_SAMPLE = 0.01, 4_000
 #: Leaders that a set is compared with; shingles of a block of a group whose members are compared, about.
 LEADERS, BLOCK_SHINGLES = 4, 400_000
+#: Lists of more entries than this are compared in memory, without a row for a pair of groups.
+LONG_LIST = 32
 _U = np.uint64
 _LOW = _U((1 << 48) - 1)
 
@@ -251,7 +253,67 @@ def compare_members(near: DataFrame, member: DataFrame, candidates: DataFrame, p
     return blocks.join(tokens, "set_id").groupBy(*key).cogroup(asking.join(tokens, "set_id").groupBy(*key)).applyInArrow(compare, "a long, b long")
 
 
-def links(candidates: DataFrame, percent: int) -> DataFrame:
+def long_lists(entries: DataFrame) -> DataFrame:
+    """(token, set_id): entries of long lists (`entries(token, set_id, size)`) that are enough to bring all pairs of them together.
+
+    A set's home is the longest of its lists. Lists that are a home are taken whole; near copies have few homes among them, and most
+    pairs share one. Of any other list, a set meets sets of the homes in that list again where it stands in these homes too; it is
+    taken only if one of them is not among its own lists.
+    """
+    homes = entries.groupBy("set_id").agg(F.max(F.struct("size", "token"))["token"].alias("home"))
+    home = homes.select(F.col("home").alias("token")).distinct().withColumn("is_home", F.lit(True))
+    known = written(entries.join(home, "token", "left").join(homes, "set_id").select("token", "set_id", "home", F.coalesce("is_home", F.lit(False)).alias("is_home")), "join-homes")
+    own = known.where("is_home").groupBy("set_id").agg(F.collect_set("token").alias("own"))
+    rest = known.where("not is_home")
+    present = rest.groupBy("token").agg(F.collect_set("home").alias("present")).where(F.size("present") > 1)
+    met = rest.join(present, "token").join(own, "set_id").where(F.size(F.array_except("present", "own")) > 0)
+    return known.where("is_home").select("token", "set_id").unionByName(met.select("token", "set_id"))
+
+
+def compare_lists(entries: DataFrame, groups: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) that connect all linked sets of a list of `entries(token, set_id)`, given what `groups(set_id, root)` connects already.
+
+    A list is cut in blocks of bounded size and every two blocks meet in a task. A set is counted against a whole block at once; of the
+    sets it is linked with, one of each group that is not connected yet gives an edge, so edges are fewer than the sets of a task."""
+    sets = entries.join(candidates.select("set_id", "n"), "set_id").join(groups, "set_id", "left").select(
+        "token", "set_id", F.coalesce("root", "set_id").alias("root"), "n")
+    cuts = sets.groupBy("token").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("long").alias("blocks"), F.min("root").alias("p"), F.max("root").alias("q"))
+    own = F.pmod(F.xxhash64("set_id"), "blocks")
+    dealt = sets.join(cuts.where("p < q"), "token").select("token", "set_id", "root", own.alias("block"), F.explode(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_id", "root")
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, n, label, block = (group.column(c).to_numpy() for c in ("set_id", "n", "root", "block"))
+        label, out = label.copy(), []
+        lists = group.column("tokens").combine_chunks()
+        flat, cut = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+        cut = cut - cut[0]
+        held = block == group.column("i")[0].as_py()
+        asking = np.flatnonzero(block == group.column("j")[0].as_py())
+        order = np.argsort(flat, kind="stable")
+        owner = np.repeat(np.arange(len(ids)), np.diff(cut))[order]
+        ordered = flat[order]
+        for y in asking:
+            may = held & (label != label[y]) & (n * 100 >= n[y] * percent) & (n[y] * 100 >= n * percent)
+            if may.any():
+                tokens = flat[cut[y]:cut[y + 1]]
+                at, end = np.searchsorted(ordered, tokens, "left"), np.searchsorted(ordered, tokens, "right")
+                count = end - at
+                places = np.arange(count.sum()) + np.repeat(at - np.append(0, np.cumsum(count)[:-1]), count)
+                common = np.bincount(owner[places], minlength=len(ids))
+                hit = np.flatnonzero(may & (100 * common >= percent * (n + n[y] - common)))
+                for x in hit:
+                    if label[x] != label[y]:
+                        out.append((ids[x], ids[y]))
+                        label[label == label[x]] = label[y]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    whole = dealt.join(candidates.select("set_id", "n", "tokens"), "set_id").select("token", "i", "j", "block", "set_id", "root", "n", "tokens")
+    return whole.groupBy("token", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def links(candidates: DataFrame, percent: int, long_list: int = LONG_LIST) -> DataFrame:
     """Edges (a, b) between linked sets that connect all linked sets, without all pairs of a group.
 
     1. Each set is compared with its leader, the first set of most of its lists. If they are linked and the leader has no leader
@@ -273,7 +335,9 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
     member = told.join(told.select(F.col("a").alias("b")), "b", "left_anti").select(
         F.col("a").alias("set_id"), F.col("b").alias("root"), "distance")
     member = written(member, "join-members")
-    entries = lists.join(member, "set_id", "left").select("token", "set_id", "n", "pos", F.coalesce("root", "set_id").alias("root"),
+    sizes = written(lists.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > long_list), "join-long")
+    met = compare_lists(written(long_lists(lists.join(sizes, "token").select("token", "set_id", "size")), "join-met"), member.select("set_id", "root"), candidates, percent)
+    entries = lists.join(sizes, "token", "left_anti").join(member, "set_id", "left").select("token", "set_id", "n", "pos", F.coalesce("root", "set_id").alias("root"),
                                                           F.coalesce("distance", F.lit(0.0)).alias("distance"))
     size_class = F.floor(F.log("n") / F.log(F.lit(100 / percent)) + 1e-9)
     blocks = entries.groupBy("token", "root", size_class.alias("class")).agg(
@@ -293,7 +357,7 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
         F.col("far")).alias("far_a"), F.when(swap, F.col("far")).otherwise(F.col("far_2")).alias("far_b"))
     pairs = written(pairs.groupBy("a", "b").agg(F.max("far_a").alias("far_a"), F.max("far_b").alias("far_b")), "join-pairs")
     roots = written(overlaps(pairs, candidates).withColumn("ok", _linked(percent)), "join-roots")
-    joined = written(components(every.select("a", "b").unionByName(roots.where("ok").select("a", "b"))), "join-groups")
+    joined = written(components(every.select("a", "b").unionByName(roots.where("ok").select("a", "b")).unionByName(met)), "join-groups")
     ends = [joined.select(F.col("node").alias(c), F.col("component").alias(f"group_{c}")) for c in "ab"]
     apart = roots.where("not ok").join(ends[0], "a", "left").join(ends[1], "b", "left").where(
         F.coalesce("group_a", "a") != F.coalesce("group_b", "b")).select("a", "b", "distance")
@@ -303,7 +367,8 @@ def links(candidates: DataFrame, percent: int) -> DataFrame:
     return joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(inner.select("a", "b"))
 
 
-def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, key: str = "doc_id", text: str = "text",
+                       long_list: int = LONG_LIST) -> DataFrame:
     """Per row: key, n_shingles (size of its shingle set), component_id (smallest key that links reach, itself included).
 
     Letters A-Z are lower-cased; words are runs of anything but ASCII white space; a set holds the distinct shingles of `width`
@@ -328,7 +393,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     n_buckets = max(parallelism(spark), -(-(total["shingles"] or 0) // BUCKET_SHINGLES))
     hot = hot_shingles(rows, sets.count(), width)
     candidates = written(shared_shingles(rows, n_buckets, hot, width, percent), "join-candidates")
-    found = components(links(candidates, percent))
+    found = components(links(candidates, percent, long_list))
     named = found.join(distinct, found["node"] == distinct["set_id"]).groupBy("component").agg(F.min("least").alias("component_id"))
     of_set = found.join(named, "component").select(F.col("node").alias("set_id"), "component_id")
     of_set = distinct.join(of_set, "set_id", "left").select("set_id", F.coalesce("component_id", "least").alias("component_id"))

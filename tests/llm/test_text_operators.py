@@ -61,8 +61,8 @@ def test_join_on_the_small_table(spark, sf_dir, texts):
     assert plain_rows(got) == [tuple(r) for r in plain_rows(spark.createDataFrame(join_by_force(texts), got.schema))]
 
 
-@pytest.mark.parametrize("block", [ngram_join.BLOCK_SHINGLES, 300])
-def test_join_of_many_near_copies_around_the_limit(make_docs, monkeypatch, block):
+@pytest.mark.parametrize("block, long_list", [(ngram_join.BLOCK_SHINGLES, ngram_join.LONG_LIST), (300, ngram_join.LONG_LIST), (300, 1000), (400_000, 2), (900, 5)])
+def test_join_of_many_near_copies_around_the_limit(make_docs, monkeypatch, block, long_list):
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
     rng = random.Random(3)
     base, texts = [f"w{i}" for i in range(60)], []
@@ -71,7 +71,7 @@ def test_join_of_many_near_copies_around_the_limit(make_docs, monkeypatch, block
         for _ in range(rng.choice([0, 1, 1, 2, 3])):
             words[rng.randrange(60)] = f"x{rng.randrange(4)}"
         texts.append((d, " ".join(words[rng.randrange(4):60 - rng.randrange(6)])))
-    got = ngram_join.jaccard_components(make_docs([(d, t, "en", "a") for d, t in texts]))
+    got = ngram_join.jaccard_components(make_docs([(d, t, "en", "a") for d, t in texts]), long_list=long_list)
     assert sorted(tuple(r) for r in got.collect()) == join_by_force(texts)
 
 
