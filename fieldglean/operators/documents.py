@@ -84,22 +84,6 @@ def layout_table(spark, layouts: Sequence[Layout]) -> DataFrame:
               "fields array<struct<field:string,groups:array<int>>>")
 
 
-def layout_matches(text: Column) -> Column:
-    """Array of maps field -> text, one per match of the layout columns beside the text.
-
-    One pass finds the matches; the fields are then read from each short match. No layout looks
-    around its match, so a match read on its own gives the same groups.
-    """
-    whole = F.regexp_extract_all(text, F.col("regex"), F.lit(0))
-
-    def fields(match: Column) -> Column:
-        value = lambda f: F.array_join(F.transform(f["groups"], lambda g: F.call_function("regexp_extract", match, F.col("regex"), g)), "")
-        clean = lambda v: F.when(F.col("has_email"), v).otherwise(F.replace(v, F.lit("@"), F.lit("")))
-        return F.map_from_entries(F.transform(F.col("fields"), lambda f: F.struct(f["field"], clean(value(f)))))
-
-    return F.transform(whole, fields)
-
-
 def integers_in(text: Column, patterns: Sequence[tuple[str, int]]) -> Column:
     """All groups of all matches of all patterns as one flat array of integers, commas removed."""
     parts = [F.regexp_extract_all(text, F.lit(p), F.lit(i)) for p, groups in patterns for i in range(1, groups + 1)]

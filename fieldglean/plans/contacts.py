@@ -5,22 +5,29 @@ Stages and what each one shuffles:
 1. ``locate``: the exhibit name from the first 21 pages of a document (at most 22 short rows each).
 2. ``list_pages``: pages that name the exhibit. Only pages that name any exhibit join.
 3. ``choose_layout``: the catalogue runs on the candidate pages alone; the winner is a min / max_by.
-4. ``collect_runs`` and ``contact_rows``: pages of the run joined in page order, then one row per match.
+4. ``run_pages`` and ``contact_rows``: pages of the run read in order as one text, one row per match.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldglean.functions.scalars import between, double_quotes, empty_to_null, plain_quotes
-from fieldglean.operators.documents import best_layout, header_field, include_exclude, layout_matches, layout_table
+from fieldglean.operators.documents import best_layout, header_field, include_exclude, layout_table
 from fieldglean.operators.ordered import first_in_lookahead
 from fieldglean.operators.relational import lookup, reindex, upsert
+from fieldglean.operators.segments import Segments
 from fieldglean.rules import contacts as R
-from fieldglean.session import cut, parallelism
+from fieldglean.session import cut, parallelism, ship_package
+
+#: Contacts handed on together.
+_ROWS = 2000
 
 
 def exhibit_in(text: Column) -> Column:
@@ -123,12 +130,8 @@ def choose_layout(doc_pages: DataFrame, starts: DataFrame) -> DataFrame:
     return first_in_lookahead(starts, valid, "doc", "page")
 
 
-def collect_runs(doc_pages: DataFrame, chosen: DataFrame, layouts: DataFrame) -> DataFrame:
-    """``(doc, ord, text)``: pages from the chosen one while the end of the layout keeps matching.
-
-    A contact may run over a page break, so the pages of one list become one text. Its size is
-    that of a single document's contact list.
-    """
+def run_pages(doc_pages: DataFrame, chosen: DataFrame, layouts: DataFrame) -> DataFrame:
+    """``(doc, ord, page, text)``: pages from the chosen one while the end of the layout keeps matching."""
     picked = chosen.select("doc", F.col("page").alias("start"), "ord").join(
         F.broadcast(layouts.select("ord", "tail")), "ord")
     pages = (doc_pages.select("doc", "page", F.replace("text", F.lit("\n"), F.lit("@")).alias("text"))
@@ -137,18 +140,54 @@ def collect_runs(doc_pages: DataFrame, chosen: DataFrame, layouts: DataFrame) ->
     stop = pages.filter(~F.coalesce("match", F.lit(False))).groupBy("doc").agg(F.min("page").alias("stop"))
     run = pages.filter("match").join(stop, "doc", "left").filter(
         F.col("stop").isNull() | (F.col("page") < F.col("stop")))
-    parts = F.sort_array(F.collect_list(F.struct("page", "text")))
-    return run.groupBy("doc", "ord").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text"))
+    return run.select("doc", "ord", "page", "text")
 
 
-def contact_rows(runs: DataFrame, layouts: DataFrame) -> DataFrame:
-    """One row per match with the fields as a map and the order of the match in its document."""
-    found = runs.join(F.broadcast(layouts), "ord")
-    rows = found.select("doc", "name", layout_matches(F.col("text")).alias("m"))
-    rows = rows.select("doc", F.col("name").alias("regex"), F.posexplode("m").alias("row_no", "f"))
+def contact_rows(pages: DataFrame) -> DataFrame:
+    """One row per match over the pages of a run, with the order of the match in its document.
+
+    A contact may run over a page break, so the pages of a list are one text for the layout. It is read page by page, and only what
+    a further page could still change is held (``operators.segments``), so a list of any number of pages needs bounded memory. The
+    pages of a document are read in order by one task, as a stream.
+    """
+    ship_package(pages.sparkSession)
     named = [c for c in R.CONTACT_COLUMNS if c not in ("fdd_name", "method", "regex", "franchise_id")]
-    return rows.select(F.col("doc").alias("fdd_name"), "row_no", F.lit("regex").alias("method"), "regex",
-                       *[F.try_element_at("f", F.lit(c)).alias(c) for c in named])
+    names = ["fdd_name", "row_no", "method", "regex", *named]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        layouts = {lay.ord: lay for lay in R.catalogue()}
+        now, row_no, lay, segments, made = None, 0, None, None, []
+
+        def take(matches) -> Iterator[pa.RecordBatch]:
+            nonlocal row_no, made
+            fields = dict(lay.fields)
+            for found in matches:
+                texts = ["".join(found[g] or "" for g in fields[c]) if c in fields else None for c in named]
+                made.append((now, row_no, "regex", lay.name, *(t if t is None or lay.has_email else t.replace("@", "") for t in texts)))
+                row_no += 1
+                if len(made) >= _ROWS:
+                    yield given()
+
+        def given() -> pa.RecordBatch:
+            nonlocal made
+            rows, made = made, []
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int32() if c == "row_no" else pa.string())
+                                               for i, c in enumerate(names)], names)
+
+        for batch in batches:
+            for doc, ord, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if doc != now:
+                    if segments:
+                        yield from take(segments.finish())
+                    now, row_no, lay = doc, 0, layouts[ord]
+                    segments = Segments(lay.regex.removeprefix(R.FLAGS), re.I)
+                yield from take(segments.feed(text))
+        if segments:
+            yield from take(segments.finish())
+        yield given()
+
+    ordered = pages.repartition("doc").sortWithinPartitions("doc", "page").select("doc", "ord", "text")
+    return ordered.mapInArrow(read, ", ".join(f"{c} {'int' if c == 'row_no' else 'string'}" for c in names))
 
 
 def extract_contacts(doc_pages: DataFrame, di_fdds: DataFrame | None = None,
@@ -160,7 +199,7 @@ def extract_contacts(doc_pages: DataFrame, di_fdds: DataFrame | None = None,
     located = cut(locate(doc_pages))
     starts = cut(list_pages(doc_pages, located, start_pages))
     chosen = cut(choose_layout(doc_pages, starts))
-    rows = contact_rows(collect_runs(doc_pages, chosen, layouts), layouts)
+    rows = contact_rows(run_pages(doc_pages, chosen, layouts))
     if di_fdds is not None:
         ids = di_fdds.select(F.col("filename").alias("fdd_name"), "franchise_id")
         rows = lookup(rows, ids, "fdd_name", "franchise_id", "franchise_id")
