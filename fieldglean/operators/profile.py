@@ -12,9 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank error of the sketch that brackets a quantile, and the margin taken around it.
-_SKETCH_ACCURACY = 10_000
-_BRACKET = 4 / _SKETCH_ACCURACY
+# Rank error of the sketches that enclose a quantile (one in so many rows), margins tried around it, points of a later sketch.
+_SKETCH_ACCURACY, _GRID = 10_000, 1_000
+_MARGINS = (0.001, 0.003, 0.01, 0.03, 0.1, 0.3, 1.0)
+# Rows between two values that are few enough to be sorted.
+_MOST = 10_000
 
 
 def value_counts(df: DataFrame, c: str, name: str = "count") -> DataFrame:
@@ -48,24 +50,51 @@ def present(c: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _narrowed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], most: int) -> tuple[dict[str, int], dict[tuple[str, float], tuple]]:
+    """Rows per column, and for each (column, probability) two values that enclose its ranks with about ``most`` rows between them.
+
+    Rank selection in rounds: sketches merged over all partitions tell where the ranks lie, what lies below is counted, and the
+    rows between are sketched again. A round leaves a thousandth of the rows, so 10^12 take four. A few numbers a round come here.
+    """
+    num = {c: present(c) for c in cols}
+    margin = lambda n: next(d for d in _MARGINS if d >= 3 / _SKETCH_ACCURACY + 2 / max(n, 1) or d == 1.0)
+    points = sorted({min(max(p + s * d, 0.0), 1.0) for p in probs for d in _MARGINS for s in (-1, 1)})
+    first = df.agg(*[F.struct(F.count(num[c]).alias("n"), F.percentile_approx(num[c], points, _SKETCH_ACCURACY).alias("q")).alias(c) for c in cols]).first()
+    at = lambda c, p: first[c]["q"][points.index(min(max(p, 0.0), 1.0))]
+    found, size = {}, {}
+    for c in cols:
+        n = first[c]["n"]
+        for p in probs:
+            d = margin(n)
+            found[c, p] = (at(c, p - d), at(c, p + d)) if n else (None, None)
+            size[c, p] = 2 * d * n
+    grid = [i / _GRID for i in range(_GRID + 1)]
+    while wide := [k for k, (lo, hi) in found.items() if size[k] > most and lo < hi]:
+        told = df.agg(*[F.struct(
+            F.count_if(num[c] < lo).alias("below"), F.count_if(num[c].between(lo, hi)).alias("n"),
+            F.percentile_approx(F.when(num[c].between(lo, hi), num[c]), grid, _SKETCH_ACCURACY).alias("q")).alias(str(i))
+            for i, ((c, p), (lo, hi)) in enumerate((k, found[k]) for k in wide)]).first()
+        for i, k in enumerate(wide):
+            below, n, q = told[str(i)]
+            rank = (first[k[0]]["n"] - 1) * k[1] - below
+            # Two steps beside the ranks: one for the grid, one for what the sketch may be off.
+            lo, hi = (max(0, int(rank / n * _GRID) - 2), min(_GRID, int((rank + 1) / n * _GRID) + 3))
+            # Many rows of one value cannot be parted; the same bounds again end the rounds.
+            size[k] = 0 if (q[lo], q[hi]) == found[k] else n * (hi - lo) / _GRID
+            found[k] = (q[lo], q[hi])
+    return {c: first[c]["n"] for c in cols}, found
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], most: int = _MOST) -> DataFrame:
     """``(column_name, prob, quantile)`` with linear interpolation, exact at any size.
 
-    A sketch first brackets every quantile between two values. The second pass counts what lies
-    below the bracket and groups the values inside it, so only that sliver of the data (and never
-    all distinct values of a column, as ``percentile`` would) is shuffled and sorted. If a bracket
-    should miss the rank the query fails instead of returning a wrong value.
+    Each quantile is first enclosed between two values with at most about ``most`` rows between them (``_narrowed``). One more pass
+    counts what lies below and groups the values between, so only that sliver is shuffled and sorted, however many rows or values
+    a column has. If the values should not enclose the rank the query fails instead of returning a wrong value.
     """
-    points = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-_BRACKET, _BRACKET)})
     num = {c: present(c) for c in cols}
-    # One row of a few numbers per column comes to the driver, whatever the size of the data.
-    s = df.agg(*[F.struct(
-        F.count(num[c]).alias("n"), F.min(num[c]).alias("lo"), F.max(num[c]).alias("hi"),
-        F.percentile_approx(num[c], points, _SKETCH_ACCURACY).alias("q")).alias(c) for c in cols]).first()
-    # Among few rows the neighbour of a rank lies outside the margin: the bracket is then the whole column.
-    sure = lambda c: s[c]["n"] * _BRACKET >= 4
-    edge = lambda c, at, end: F.lit(s[c]["q"][points.index(at)] if 0 < at < 1 and sure(c) else s[c][end])
-    cases = [(c, p, edge(c, p - _BRACKET, "lo"), edge(c, p + _BRACKET, "hi")) for c in cols for p in probs]
+    total, found_between = _narrowed(df, cols, probs, most)
+    cases = [(c, p, *(F.lit(v).cast("double") for v in found_between[c, p])) for c in cols for p in probs]
     tag = lambda c, p: (F.lit(c).alias("column_name"), F.lit(float(p)).alias("prob"))
 
     # How many rows lie below each bracket: plain counters of one pass.
@@ -85,7 +114,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 
     # NULL sorts first: the count of everything below the bracket starts the running total.
     w = Window.partitionBy("column_name", "prob").orderBy(F.col("value").asc_nulls_first())
-    last = reduce(lambda chain, c: chain.when(F.col("column_name") == c, s[c]["n"] - 1), cols, F)
+    last = reduce(lambda chain, c: chain.when(F.col("column_name") == c, total[c] - 1), cols, F)
     pos = last * F.col("prob")
     ranked = below.unionByName(inside).withColumn("upto", F.sum("rows").over(w)).select(
         "column_name", "prob", "value", "upto", (F.col("upto") - F.col("rows")).alias("from"), pos.alias("pos"))

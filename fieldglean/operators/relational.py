@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 
 def reindex(df: DataFrame, cols: Sequence[str], dtype: str = "string") -> DataFrame:
@@ -143,23 +144,47 @@ def _join_starts(rows: DataFrame, starts: DataFrame, on: Sequence[str], name: st
     return rows.join(right, same).select((F.col("__s") + F.col("__i") - 1 + offset).alias(name), *cols)
 
 
+def range_of(rows: Column, bounds: Column) -> Column:
+    """How many of the sorted bounds are not above a value: a binary search, as many steps as the bounds' number has digits."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(bounds) + 1)).cast("int"))
+
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        above = F.get(bounds, middle) <= rows
+        open_ = acc["lo"] < acc["hi"]
+        return F.struct(F.when(open_ & above, middle + 1).otherwise(acc["lo"]).alias("lo"),
+                        F.when(open_ & ~above, middle).otherwise(acc["hi"]).alias("hi"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi")), halve, lambda acc: acc["lo"])
+
+
+def drawn_bounds(df: DataFrame, order: str, width: int, most: int = 4096) -> Column:
+    """Sorted values of a struct column, about one in ``width`` of the rows and about ``most`` at most, as a constant.
+
+    A row is drawn by a hash of the value, so a second run draws the same. The rows are counted, then the bounds come to the driver.
+    """
+    every = max(width, -(-df.count() // most))
+    drawn = df.filter(F.pmod(F.xxhash64(F.lit("bound"), order), F.lit(every)) == 0)
+    text = drawn.agg(F.to_json(F.sort_array(F.collect_list(order)))).first()[0]
+    return F.from_json(F.lit(text), ArrayType(df.schema[order].dataType))
+
+
 def number_rows(df: DataFrame, group: Sequence[str], key: Column, width: int, name: str,
                 offset: int = 0, restart: bool = False) -> DataFrame:
-    """Contiguous numbers over (group, key) order for an integer key unique in its group.
+    """Contiguous numbers over (group, key) order, nulls first, for a key unique in its group.
 
-    Rows fall into buckets of ``width`` consecutive keys, so no bucket exceeds ``width`` rows
-    however large a group is. A prefix sum over the bucket counts gives each bucket its start.
-    ``restart`` numbers every group from the offset anew.
+    Rows drawn by a hash of their place bound ranges, so ranges hold about ``width`` rows (seldom more than ten times that) whatever
+    the values of the key and the sizes of the groups. Each range is sorted and numbered on its own from the sum of the counts
+    before it; that sum sees one row per range. ``restart`` numbers every group from the offset anew.
     """
-    tagged = df.withColumn("__k", key).withColumn("__b", F.expr(f"__k div {width}"))
-    bucket = [*group, "__b"]
-    counts = tagged.groupBy(*bucket).agg(F.count("*").alias("__n"))
-    # One row per bucket of up to ``width`` rows: a million rows for 10^12 keys at a width of 10^6.
-    before = Window.partitionBy(*group).orderBy("__b") if restart else Window.orderBy(*bucket)
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*bucket, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
-    inside = F.row_number().over(Window.partitionBy(*bucket).orderBy("__k"))
-    return _join_starts(tagged.withColumn("__i", inside), starts, bucket, name, offset, df.columns)
+    tagged = df.withColumn("__o", F.struct(*group, key.alias("__k")))
+    tagged = tagged.withColumn("__b", range_of(F.col("__o"), drawn_bounds(tagged, "__o", width)))
+    piece = [*group, "__b"] if restart else ["__b"]
+    counts = tagged.groupBy(*piece).agg(F.count("*").alias("__n"))
+    before = (Window.partitionBy(*group) if restart else Window).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*piece, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
+    inside = F.row_number().over(Window.partitionBy(*piece).orderBy("__o"))
+    return _join_starts(tagged.withColumn("__i", inside), starts, piece, name, offset, df.columns)
 
 
 def number_blocks(df: DataFrame, block: Sequence[str], order: str, name: str, offset: int = 0) -> DataFrame:

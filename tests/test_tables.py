@@ -124,6 +124,25 @@ def test_number_rows_is_contiguous_with_nulls_and_hot_group(spark):
     assert max(r.n for r in again.collect() if r.g == "hot") == 500 and {r.n for r in again.collect() if r.g is None} == {1, 2}
 
 
+def test_number_rows_of_sparse_keys(spark):
+    """Keys all over 64 bits, of text and of both signs: as many rows in a range as with dense ones."""
+    rng = random.Random(8)
+    data = [(rng.choice(["a", "b", None]), rng.choice([-1, 1]) * 2 ** rng.uniform(0, 62.9)) for _ in range(4000)]
+    data = list({(g, int(k)) for g, k in data})
+    df = spark.createDataFrame(data, "g string, k bigint")
+    order = lambda t: (t[0] is not None, t[0] or "", t[1])
+    want = {t: i for i, t in enumerate(sorted(data, key=order))}
+    assert {(r.g, r.k): r.n for r in relational.number_rows(df, ["g"], F.col("k"), 100, "n").collect()} == want
+    assert {(r.g, r.k): r.n for r in relational.number_rows(df, ["g"], F.col("k"), 10 ** 9, "n").collect()} == want
+    words = relational.number_rows(df, [], F.concat(F.coalesce("g", F.lit("")), F.lit("/"), F.col("k").cast("string")), 100, "n").collect()
+    assert {(r.g, r.k): r.n for r in words} == {t: i for i, t in enumerate(sorted(data, key=lambda t: f"{t[0] or ''}/{t[1]}"))}
+    tagged = df.select(F.struct("g", "k").alias("o"))
+    bounds = relational.drawn_bounds(tagged, "o", 100)
+    sizes = [r["count"] for r in tagged.groupBy(relational.range_of(F.col("o"), bounds)).count().collect()]
+    assert 20 < len(sizes) < 80 and max(sizes) < 1000
+    assert relational.number_rows(df.limit(0), ["g"], F.col("k"), 100, "n").count() == 0
+
+
 def test_promote_header(spark):
     cells = [("t", 0, 0, "name"), ("t", 0, 1, "city"), ("t", 1, 0, "Ann"), ("t", 1, 1, "X"), ("t", 2, 1, "Y"), ("u", 0, 0, "city"), ("u", 1, 0, "Z")]
     df = spark.createDataFrame(cells, "t string, row_no int, col_no int, text string")
@@ -264,6 +283,17 @@ def test_exact_quantiles(spark, kind):
     got = {r.prob: r.quantile for r in profile.exact_quantiles(df, ["v"], probs).collect()}
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(data, p)), rel=1e-12), p
+    # Few rows left to sort: many rounds, the same values.
+    again = {r.prob: r.quantile for r in profile.exact_quantiles(df, ["v"], probs, most=5).collect()}
+    assert again == got
+
+
+def test_exact_quantiles_sort_few_rows(spark):
+    """Of a million different values no more than a hundredth stands between the bounds of a quantile."""
+    df = spark.range(1_000_000).select(F.exp(F.pmod(F.col("id") * 7919, F.lit(1_000_003)) / 50_000).alias("v"))
+    total, found = profile._narrowed(df, ["v"], (0.25, 0.5, 0.999), profile._MOST)
+    counts = df.agg(*[F.count_if(F.col("v").between(lo, hi)).alias(str(p)) for (_, p), (lo, hi) in found.items()]).first()
+    assert total == {"v": 1_000_000} and max(counts) <= 10_000
 
 
 def test_describe_empty_and_single(spark):
