@@ -6,11 +6,15 @@ customers make more documents, not longer ones.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from fieldglean.operators import snapshots
 from fieldglean.plans import contacts, listings, registry, surface_area
 from fieldglean.queries import query
+from fieldglean.rules.contacts import CONTACT_COLUMNS
 from fieldglean.session import parallelism, spread
 from fieldglean.sources.readers import table
 
@@ -19,16 +23,43 @@ _CONTENTS = "Table of Contents\nExhibit A Agreement\nExhibit F List of Franchise
 _HEADING = "Exhibit F\nCurrent outlets"
 
 
+# One layout of each family: entry on a page, with {i} the customer, {n} its nation, {z} its zip code, {p} four digits, and what the
+# layout reads from it, in the same terms.
+_LAYOUTS = [
+    ("special_regex_16", "Shop{i}\n{i} MainStreet\nTown{n}, IL {z}\ncontact: Bob{i}\nphone: (555) 555-{p}\n",
+     {"franchise_name": "Shop{i}", "address": "{i} MainStreet", "city": "Town{n}", "state": "IL", "zipcode": "{z}", "owner_name": " Bob{i}", "phone": "(555) 555-{p}"}),
+    ("table_columns_3", "Owner{i}\n{i}MainStreet\nTown{n}\nIL\n{z}\n(555) 555-{p}\n",
+     {"address": "{i}MainStreet", "city": "Town{n}", "state": "IL", "zipcode": "{z}", "phone": "(555) 555-{p}"}),
+    ("blocks_14", "Owner{i} Foods\n{i} MainStreet\nTown{n}, IL {z} \nBob{i} Example \n(555) 555-{p}\nbob{i}@example.com\n",
+     {"franchise_name": "", "address": "Owner{i} Foods@{i} MainStreet", "city": "Town{n},", "state": "IL", "zipcode": "{z}", "owner_name": "Bob{i} Example ",
+      "phone": "(555) 555-{p}", "email": "bob{i}@example.com"}),
+    ("columns_6", "IL\nTown{n}\n{i} Title\n{i} MainStreet\n{z}\n(555) 555-{p}\nShop{i}\n",
+     {"franchise_name": "Shop{i}", "address": "{i} MainStreet", "city": "Town{n}", "state": "IL", "zipcode": "{z}", "title": "Title", "phone": "(555) 555-{p}"}),
+    ("paragraphs_3", "Bob{i}, (Shop{i}) {i} MainStreet, Town{n}, IL {z}, (555) 555-{p}\n",
+     {"franchise_name": "(Shop{i})", "address": "{i} MainStreet", "city": "Town{n}", "state": "IL", "zipcode": "{z}", "phone": "(555) 555-{p}"}),
+    ("table_blocks_3", "Town{n} IL \n(555) 555-{p} \nOwner: Bob{i} \n", {"city": "Town{n}", "state": "IL", "phone": "(555) 555-{p}"}),
+    ("lines_2", "Bob{i}\nTown{n}, IL \nShop{i}\n(555) 555-{p}\n", {"franchise_name": "Shop{i}", "city": "Town{n}", "state": "IL", "phone": "(555) 555-{p}"}),
+    ("table_without_lines_3", "Shop{i}\n{i} MainStreet\nTown{n}\nIL \n{z}\nUSA\n(555) 555-{p} \nbob@example.com\n",
+     {"address": "{i} MainStreet", "city": "Town{n}", "state": "IL", "phone": "(555) 555-{p}", "email": "bob@example.com"}),
+]
+_TERMS = {"i": "CAST(c_custkey AS VARCHAR)", "n": "CAST(c_nationkey AS VARCHAR)", "z": "CAST(10000 + c_custkey % 80000 AS VARCHAR)",
+          "p": "lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0')"}
+
+
+def _filled(template: str) -> str:
+    """A template as an SQL expression that Spark and the SQL text share."""
+    parts = re.split(r"\{(\w)\}", template)
+    return " || ".join(_TERMS[x] if k % 2 else "'" + x.replace("\n", "\\n") + "'" for k, x in enumerate(parts) if k % 2 or x) or "''"
+
+
 def _contact_pages(spark, sf):
-    """60 customers per document, 20 per page, behind a how-to page, the contents and a heading page."""
-    c = spread(table(spark, sf, "customer")).select(
-        F.concat(F.lit("d"), F.floor(F.col("c_custkey") / 60).cast("string"), F.lit("-fdd.pdf")).alias("doc"),
-        (F.floor(F.pmod("c_custkey", F.lit(60)) / 20) + 6).cast("int").alias("page"), "c_custkey", "c_name", "c_nationkey")
-    entry = F.concat(
-        F.lit("Owner"), F.substring("c_name", 10, 9), F.lit("\n"), F.col("c_custkey").cast("string"), F.lit("MainStreet\nTown"),
-        F.col("c_nationkey").cast("string"), F.lit("\nIL\n"), (F.lit(10000) + F.pmod("c_custkey", F.lit(80000))).cast("string"),
-        F.lit("\n(555) 555-"), F.lpad(F.pmod("c_custkey", F.lit(10000)).cast("string"), 4, "0"), F.lit("\n"))
-    parts = F.sort_array(F.collect_list(F.struct(F.col("c_custkey").alias("k"), entry.alias("e"))))
+    """60 customers per document, 20 per page, behind a how-to page, the contents and a heading page; a layout family per document."""
+    c = spread(table(spark, sf, "customer")).select("c_custkey", "c_name", "c_nationkey", F.floor(F.col("c_custkey") / 60).alias("number"))
+    entries = [F.expr(_filled(text).replace("VARCHAR", "STRING")) for _, text, _ in _LAYOUTS]
+    entry = reduce(lambda chain, e: chain.when(F.pmod("number", F.lit(len(_LAYOUTS))) == e[0], e[1]), enumerate(entries), F)
+    c = c.select(F.concat(F.lit("d"), F.col("number").cast("string"), F.lit("-fdd.pdf")).alias("doc"),
+                 (F.floor(F.pmod("c_custkey", F.lit(60)) / 20) + 6).cast("int").alias("page"), "c_custkey", entry.alias("entry"))
+    parts = F.sort_array(F.collect_list(F.struct(F.col("c_custkey").alias("k"), F.col("entry").alias("e"))))
     listed = c.groupBy("doc", "page").agg(F.array_join(F.transform(parts, lambda p: p["e"]), "").alias("text"))
     front = [(0, _HOW_TO), (1, _CONTENTS), (2, "body"), (3, "body"), (4, "body"), (5, _HEADING), (9, "The end")]
     fixed = F.array(*[F.struct(F.lit(p).alias("page"), F.lit(t).alias("text")) for p, t in front])
@@ -36,22 +67,39 @@ def _contact_pages(spark, sf):
     return pages.repartition(parallelism(spark), "doc", "page")
 
 
-@query("contact_list_rows", """
-    SELECT 'd' || CAST(c_custkey // 60 AS VARCHAR) || '-fdd.pdf' AS fdd_name, 'regex' AS method,
-           'table_columns_3' AS regex, CAST(c_custkey AS VARCHAR) || 'MainStreet' AS address,
-           'Town' || CAST(c_nationkey AS VARCHAR) AS city, 'IL' AS state, CAST(10000 + c_custkey % 80000 AS VARCHAR) AS zipcode,
-           '(555) 555-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') AS phone, CAST(NULL AS VARCHAR) AS email
-    FROM customer""")
+def _contacts_sql() -> str:
+    number = f"(c_custkey // 60) % {len(_LAYOUTS)}"
+    case = lambda values: " ".join(f"WHEN {number} = {i} THEN {v}" for i, v in enumerate(values) if v is not None)
+    columns = {"fdd_name": "'d' || CAST(c_custkey // 60 AS VARCHAR) || '-fdd.pdf'", "method": "'regex'",
+               "regex": f"CASE {case([repr(name) for name, _, _ in _LAYOUTS])} END"}
+    for c in CONTACT_COLUMNS:
+        values = [_filled(fields[c]) if c in fields else None for _, _, fields in _LAYOUTS]
+        columns.setdefault(c, f"CASE {case(values)} END" if any(v is not None for v in values) else "CAST(NULL AS VARCHAR)")
+    return "SELECT " + ", ".join(f"{columns[c]} AS {c}" for c in CONTACT_COLUMNS) + " FROM customer"
+
+
+@query("contact_list_rows", _contacts_sql())
 def contact_list_rows(spark, sf):
-    """Locate the exhibit, the list page and the layout, then read the contacts."""
+    """Locate the exhibit, the list page and the layout, then read the contacts: all stored columns, a layout of each family."""
     rows, _ = contacts.extract_contacts(_contact_pages(spark, sf))
-    return rows.select("fdd_name", "method", "regex", "address", "city", "state", "zipcode", "phone", "email")
+    return rows.select(*CONTACT_COLUMNS)
+
+
+# Pages of documents that end in each of the other outcomes.
+_OTHER_ENDS = {1: ["body", "table of contents\nnothing listed"], 2: ["abc", "def"],
+               3: [_HOW_TO, _CONTENTS, "body", "body", "body", _HEADING + " " + "no contacts at all " * 8, "The end"]}
 
 
 @query("contact_outcomes", """
-    SELECT 'regex' AS outcome, CAST(count(DISTINCT c_custkey // 60) AS BIGINT) AS count FROM customer""")
+    SELECT CASE (c_custkey // 60) % 4 WHEN 0 THEN 'regex' WHEN 1 THEN 'exceptions' WHEN 2 THEN 'franchisees not found' ELSE 'invalid methods' END AS outcome,
+           CAST(count(DISTINCT c_custkey // 60) AS BIGINT) AS count FROM customer GROUP BY 1""")
 def contact_outcomes(spark, sf):
-    _, outcome = contacts.extract_contacts(_contact_pages(spark, sf))
+    """Every fourth document holds a list; the others break off, name no list, or name one that no layout reads."""
+    pages = _contact_pages(spark, sf).withColumn("end", F.pmod(F.regexp_extract("doc", r"d(\d+)-", 1).cast("bigint"), F.lit(4)))
+    docs = pages.select("doc", "end").distinct()
+    others = [docs.filter(F.col("end") == e).select("doc", F.posexplode(F.array(*map(F.lit, texts))).alias("page", "text")) for e, texts in _OTHER_ENDS.items()]
+    both = reduce(lambda a, b: a.unionByName(b), others, pages.filter("end = 0").select("doc", "page", "text"))
+    _, outcome = contacts.extract_contacts(both)
     return outcome.groupBy("outcome").agg(F.count("*").alias("count"))
 
 
