@@ -100,12 +100,13 @@ def fill_forward(df: DataFrame, key: Sequence[str], order: str, value: Column, n
     return filled.select(*df.columns, F.coalesce("__f", "__c").alias(name))
 
 
-def header_lookup(cells: DataFrame, key: Sequence[str], titles: Sequence[str]) -> DataFrame:
-    """Cells ``(key, row_no, col_no, text)`` of the columns titled so, keyed by the title.
+def header_lookup(cells: DataFrame, key: Sequence[str], titles: Sequence[str] | None = None) -> DataFrame:
+    """Cells ``(key, row_no, col_no, text)`` of the columns titled so (of all with a title by default), keyed by the title.
 
     The header row (row 0) gives the position of each title; the body meets it on the position.
     """
-    header = cells.filter(F.col("row_no") == 0).filter(F.trim("text").isin(list(titles)))
+    wanted = F.trim("text") != "" if titles is None else F.trim("text").isin(list(titles))
+    header = cells.filter(F.col("row_no") == 0).filter(wanted)
     header = header.select(*key, "col_no", F.trim("text").alias("title"))
     return cells.filter(F.col("row_no") > 0).join(header, [*key, "col_no"])
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldglean.operators import ordered, profile, relational, snapshots
-from fieldglean.plans import listings, titles
+from fieldglean.plans import listings, surface_area, titles
 from fieldglean.rules.contacts import CONTACT_COLUMNS, MERGED_COLUMNS
 from fieldglean.sources import readers, writers
 
@@ -124,6 +124,38 @@ def test_number_rows_is_contiguous_with_nulls_and_hot_group(spark):
     assert max(r.n for r in again.collect() if r.g == "hot") == 500 and {r.n for r in again.collect() if r.g is None} == {1, 2}
 
 
+def test_batches_count_once(spark, tmp_path):
+    """A repeated batch adds nothing, a killed one is not read, its repetition equals one write."""
+    root = str(tmp_path / "sink")
+    df = spark.createDataFrame([("Texas", "A, Inc", 1), ("Ohio", 'B "q"', 2)], "state string, franchise string, n int")
+    assert writers.read_batches(spark, root) is None and writers.committed_batches(spark, root) == []
+    assert writers.write_batch(df, root, "b1", ["state"]) and not writers.write_batch(df, root, "b1", ["state"])
+    # A write that died after its rows and before its commit, with other rows than the repetition.
+    df.limit(1).write.parquet(f"{root}/data/batch=b2/state=Utah")
+    assert writers.read_batches(spark, root).count() == 2
+    assert writers.write_batch(df.withColumn("n", F.col("n") + 10), root, "b2", ["state"])
+    got = writers.read_batches(spark, root).select("batch", "state", "franchise", "n").collect()
+    assert sorted(map(tuple, got)) == [("b1", "Ohio", 'B "q"', 2), ("b1", "Texas", "A, Inc", 1), ("b2", "Ohio", 'B "q"', 12), ("b2", "Texas", "A, Inc", 11)]
+    for name in ("", "a/b", "a=b", "_x", "..", "é"):
+        with pytest.raises(ValueError):
+            writers.write_batch(df, root, name)
+    for _ in range(2):
+        writers.write_by_state(df, str(tmp_path / "states"), "run-1")
+    back = writers.read_batches(spark, str(tmp_path / "states"), "csv")
+    assert sorted((r.state, r.franchise) for r in back.collect()) == [("Ohio", 'B "q"'), ("Texas", "A, Inc")]
+    pages = spark.createDataFrame([("a", 0, "900 sq. ft."), ("a", 1, None), ("b", 0, "100 sq. ft."), ("b", 1, "200 sq. ft."), ("b", 2, "x")], "doc string, page int, text string")
+    writers.write_by_outcome(surface_area.surface_areas(pages, detail=True), str(tmp_path / "areas"))
+    kept = {r.doc: r for r in spark.read.option("header", True).csv(str(tmp_path / "areas")).collect()}
+    assert (kept["a"].outcome, kept["a"].pages, kept["a"].error) == ("error", "0 1", "no readable text on page 1")
+    assert (kept["b"].outcome, kept["b"].pages, kept["b"].error) == ("done", "0 1", None)
+
+
+def test_header_lookup_takes_all_titles(spark):
+    cells = spark.createDataFrame([("t", 0, 0, "1987"), ("t", 0, 1, " 2031 "), ("t", 0, 2, " "), ("t", 1, 0, "5"), ("t", 1, 1, "6"), ("t", 1, 2, "7")],
+                                  "t string, row_no int, col_no int, text string")
+    assert sorted((r.title, r.text) for r in ordered.header_lookup(cells, ["t"]).collect()) == [("1987", "5"), ("2031", "6")]
+
+
 def test_number_rows_of_sparse_keys(spark):
     """Keys all over 64 bits, of text and of both signs: as many rows in a range as with dense ones."""
     rng = random.Random(8)
