@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldglean.llm.common import mix, pick, prepare, rolling, word_hashes, written
+from fieldglean.llm.common import batch_words, mix, pick, prepare, rolling, word_hashes, written
 from fieldglean.session import parallelism
 
 #: Words of a window, and of the anchors in it: every window has the same anchor wherever it occurs, its run of this many words
@@ -31,20 +31,50 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:len(out) - (width - have)], out[width - have:]) if have < width else out
 
 
-def segments(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: the anchor, a hash of all words of the run, the first window, the number of windows."""
-    if len(words) < window:
-        return words[:0], words[:0], np.empty(0, np.int32), np.empty(0, np.int32)
-    least = _least(rolling(words, anchor), window - anchor + 1)
-    starts = np.append(0, np.flatnonzero(least[1:] != least[:-1]) + 1)
-    counts = np.diff(np.append(starts, len(least)))
+def _runs(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each run of `width` words, put together from runs of half the length."""
     with np.errstate(over="ignore"):
-        sums = np.append(_U(0), np.cumsum(mix(rolling(words, 2) if len(words) > 1 else words)))
+        have, out, done = 1, words, None
+        # Bits of the width from the least: the parts they stand for follow one another.
+        covered = 0
+        while True:
+            if width & have:
+                done = out if done is None else mix(done[:len(out) - covered] * _U(0xC2B2AE3D27D4EB4F) + out[covered:])
+                covered += have
+            if covered == width:
+                return mix(done + _U(width))
+            out = mix(out[:-have] * _U(0x9E3779B97F4A7C15) + out[have:])
+            have *= 2
+
+
+def segments(words: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Runs of windows with one anchor, of several texts whose words follow one another (`bounds`: where each begins, and the end):
+    the text, the anchor, a hash of all words of the run, the first window, the number of windows."""
+    n = len(words) - window + 1
+    if n <= 0:
+        none = np.empty(0, np.int32)
+        return none, words[:0], words[:0], none, none
+    least = _least(_runs(words, anchor), window - anchor + 1)
+    # Windows that lie in one text, and those of them that begin a run.
+    steps = np.zeros(n + 1, np.int32)
+    whole = np.diff(bounds) >= window
+    np.add.at(steps, bounds[:-1][whole], 1)
+    np.add.at(steps, bounds[1:][whole] - window + 1, -1)
+    valid = np.cumsum(steps[:-1]) > 0
+    begins = np.append(True, least[1:] != least[:-1])
+    begins[bounds[:-1][whole]] = True
+    edges = np.flatnonzero(begins | np.append(True, valid[1:] != valid[:-1]))
+    counts = np.diff(np.append(edges, n))
+    starts, counts = edges[valid[edges]], counts[valid[edges]]
+    with np.errstate(over="ignore"):
+        pairs = mix(rolling(words, 2) if len(words) > 1 else words)
+        sums = np.append(_U(0), np.cumsum(pairs))
         ends = starts + counts + window - 2
         # Neighbouring pairs in a run, with their place relative to its first word.
-        place = np.append(_U(0), np.cumsum(mix(rolling(words, 2)) * np.arange(1, len(words), dtype=_U)))
+        place = np.append(_U(0), np.cumsum(pairs * np.arange(1, len(pairs) + 1, dtype=_U)))
         content = mix((place[ends] - place[starts]) - (sums[ends] - sums[starts]) * starts.astype(_U)) + mix(words[starts]) + mix(counts.astype(_U))
-    return least[starts], content, starts.astype(np.int32), counts.astype(np.int32)
+    text = np.searchsorted(bounds, starts, "right") - 1
+    return text.astype(np.int32), least[starts], content, (starts - bounds[text]).astype(np.int32), counts.astype(np.int32)
 
 
 class Automaton:
@@ -71,22 +101,24 @@ class Automaton:
         return part
 
     def add(self, words: list[int], document: int) -> None:
+        moves, link, size, earliest = self.next, self.link, self.size, self.earliest
         last = 0
         for word in words:
-            target = self.next[last].get(word)
+            target = moves[last].get(word)
             if target is not None:
-                last = target if self.size[target] == self.size[last] + 1 else self._split(last, word, target)
+                last = target if size[target] == size[last] + 1 else self._split(last, word, target)
             else:
-                new, state = self._add(self.size[last] + 1, {}, 0), last
-                while state >= 0 and word not in self.next[state]:
-                    self.next[state][word] = new
-                    state = self.link[state]
+                new, state = self._add(size[last] + 1, {}, 0), last
+                while state >= 0 and word not in moves[state]:
+                    moves[state][word] = new
+                    state = link[state]
                 if state >= 0:
-                    target = self.next[state][word]
-                    self.link[new] = target if self.size[target] == self.size[state] + 1 else self._split(state, word, target)
+                    target = moves[state][word]
+                    link[new] = target if size[target] == size[state] + 1 else self._split(state, word, target)
                 last = new
-            if self.earliest[last] is None or document < self.earliest[last]:
-                self.earliest[last] = document
+            before = earliest[last]
+            if before is None or document < before:
+                earliest[last] = document
 
     def settle(self) -> None:
         """Hand each state's earliest document to the states of its suffixes."""
@@ -98,19 +130,24 @@ class Automaton:
     def first_documents(self, words: list[int], window: int) -> list[int | None]:
         """Stream a sequence through: for each window, the smallest document that holds it, or None. The state always stands for the
         longest suffix read that the references hold, cut to the window."""
+        moves, link, size, earliest = self.next, self.link, self.size, self.earliest
         out, state, matched = [], 0, 0
-        for i, word in enumerate(words):
-            while state and word not in self.next[state]:
-                state = self.link[state]
-                matched = self.size[state]
-            if word in self.next[state]:
-                state, matched = self.next[state][word], matched + 1
-            if matched > window:
-                matched = window
-            while self.link[state] >= 0 and self.size[self.link[state]] >= matched > 0:
-                state = self.link[state]
-            if i >= window - 1:
-                out.append(self.earliest[state] if matched == window else None)
+        for i, word in enumerate(words, 1 - window):
+            target = moves[state].get(word)
+            while target is None and state:
+                state = link[state]
+                matched = size[state]
+                target = moves[state].get(word)
+            if target is not None:
+                state = target
+                if matched < window:
+                    matched += 1
+                # A state stands for lengths above its link's size: step up once the cut length falls to it.
+                up = link[state]
+                while up > 0 and size[up] >= matched:
+                    state, up = up, link[up]
+            if i >= 0:
+                out.append(earliest[state] if matched == window else None)
         return out
 
 
@@ -172,14 +209,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, sizes = [], []
-            for value in batch.column(2):
-                parts.append(segments(word_hashes(value.as_py()), window, anchor))
-                sizes.append(len(parts[-1][0]))
-            at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            a, c, s, n = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0) for i in range(4))
+            words, bounds = batch_words(batch.column(2).to_pylist())
+            at, a, c, starts, n = segments(words, bounds, window, anchor)
+            at = pa.array(at)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
-                                              pa.array(s), pa.array(n)], ["anchor", "content", "doc", "rid", "start", "n"])
+                                              pa.array(starts), pa.array(n)], ["anchor", "content", "doc", "rid", "start", "n"])
 
     fields = "anchor long, content long, doc long, rid int, start int, n int"
     found = rows.where("doc is not null").mapInArrow(scan, fields)
