@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldglean.operators.relational import last_per_key, number_rows, replace_children
 from fieldglean.plans import listings
+from fieldglean.session import cut
 
 #: Sites whose listing rows carry fields into the record, with the column that holds the address of the detail page.
 DETAIL_URL = {"franchiseflippers": "url", "murphybusiness": "link"}
@@ -35,13 +36,17 @@ def site_records(listing_pages: DataFrame, detail_pages: DataFrame, site: str, r
     fetched = _pages(detail_pages)
     details = fetched.select("page_id").join(listings.detail_records(fetched, site, run_year), "page_id", "left")
     url = DETAIL_URL[site]
-    own = [c for c in rows.columns if c not in ("page_id", "row") and c not in details.columns]
+    own = [c for c in rows.columns if c not in ("page_id", "row", url) and c not in details.columns]
     return listings.with_listing(rows.select(F.col(url).alias("page_id"), *own), details, "page_id")
 
 
 def run_site(store: DataFrame | None, listing_pages: DataFrame, detail_pages: DataFrame, site: str, run_id: int, run_year: int) -> DataFrame:
-    """Stored versions after a run over the pages of a site."""
-    records = site_records(listing_pages, detail_pages, site, run_year)
+    """Stored versions after a run over the pages of a site.
+
+    The records of the run, one row per listing, are written once to the checkpoint folder: new versions and flags both read them, and
+    pages should not be parsed for each.
+    """
+    records = cut(site_records(listing_pages, detail_pages, site, run_year))
     return listings.load_run(store, records, site, run_id, [c for c in records.columns if c != "page_id"])
 
 
@@ -80,20 +85,20 @@ def run_resales(store: Family | None, parent_pages: DataFrame, child_pages: Data
 
     A franchise keeps its id over all runs. Of several pages with one title the last address counts, with its links. The outlets of a
     franchise seen in the run replace those stored; of the others they stay. A link whose page was not fetched gives no outlet. A page
-    without a title counts under ''.
+    without a title counts under ''. Records, ids and outlets of the run are written once to the checkpoint folder.
     """
     fetched = _pages(parent_pages)
     found = listings.detail_records(fetched, "franchiseresales", run_year).withColumn("title", F.coalesce("title", F.lit("")))
     payload = [c for c in found.columns if c != "page_id"]
-    kept = last_per_key(found, ["title"], "page_id")
-    ids = with_new_ids(store.ids if store else None, kept, "title")
+    kept = cut(last_per_key(found, ["title"], "page_id"))
+    ids = cut(with_new_ids(store.ids if store else None, kept, "title"))
     seen = kept.select("page_id", "title").join(ids, "title").select("page_id", F.col("id").alias("parent_id"))
 
     links = listings.listing_rows(fetched, "franchiseresales_franchisee").select("page_id", "row", F.col("href").alias("url"))
     outlets = _pages(child_pages)
     details = outlets.select("page_id").join(listings.detail_records(outlets, "franchiseresales_franchisee", run_year), "page_id", "left")
     children = links.join(seen, "page_id").drop("page_id").join(details.withColumnRenamed("page_id", "url"), "url")
-    children = children.select("parent_id", F.col("row").alias("pos"), "url", *[c for c in details.columns if c != "page_id"])
+    children = cut(children.select("parent_id", F.col("row").alias("pos"), "url", *[c for c in details.columns if c != "page_id"]))
     if store is not None:
         children = replace_children(store.children, seen, children, "parent_id")
     return Family(ids, listings.load_run(store.parents if store else None, kept, "franchiseresales", run_id, payload), children)
