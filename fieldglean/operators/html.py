@@ -33,128 +33,191 @@ NODE_TYPES = {
 }
 
 
-class _Tree(HTMLParser):
-    """Flat list of elements: tag, attributes, parent, own text, text pieces, sibling ordinal."""
+#: Tag of the row that stands for a page the parser gave up on.
+ERROR = "#error"
+#: A record batch holds about so many elements or characters of text, so that a large page leaves its step in pieces.
+BATCH_NODES, BATCH_TEXT = 4096, 8 << 20
 
-    def __init__(self) -> None:
+
+class _Paths:
+    """The tag paths of all rules as one automaton per anchor id: a state is a step of some path."""
+
+    def __init__(self, paths: Mapping[str, Iterable[str]]) -> None:
+        self.start: dict[str, dict] = {}
+        for anchor, tails in paths.items():
+            for tail in tails:
+                state = self.start.setdefault(anchor, {})
+                for tag in tail.split("/") if tail else ():
+                    state = state.setdefault(tag, {})
+                state[None] = True
+
+    def enter(self, states: Sequence[dict], tag: str, own_id: str | None) -> list[dict]:
+        """States of an element from those of its parent."""
+        out = [s[tag] for s in states if tag in s]
+        if own_id and own_id in self.start:
+            out.append(self.start[own_id])
+        return out
+
+
+class _Element:
+    """An open element, or one above an element that is kept: closed ones nothing refers to are forgotten."""
+
+    __slots__ = ("tag", "node", "up", "ordinal", "own_id", "counts", "states", "record", "kids")
+
+    def __init__(self, tag: str, node: int, up: "_Element | None", ordinal: int, own_id: str | None, states: Sequence[dict]) -> None:
+        self.tag, self.node, self.up, self.ordinal, self.own_id, self.states = tag, node, up, ordinal, own_id, states
+        self.counts: dict[str, int] = {}
+        self.record, self.kids = None, 0
+
+
+class _Reader(HTMLParser):
+    """Streams a page past the rules: only elements they name are kept, with their texts."""
+
+    def __init__(self, keep, content, paths: _Paths | None) -> None:
         super().__init__(convert_charrefs=True)
-        self.tag, self.attrs, self.parent, self.own, self.kids = [], [], [], [], []
-        self.pieces: list[tuple[int, str]] = []
-        self.span: list[list[int]] = []
-        self.open: list[int] = []
-
-    def _close_to(self, depth: int) -> None:
-        for node in self.open[depth:]:
-            self.span[node][1] = len(self.pieces)
+        self.keep, self.content, self.paths = keep, content, paths
+        self.root = _Element("", -1, None, 0, None, [paths.start[""]] if paths and "" in paths.start else ())
+        self.open: list[_Element] = []
+        self.names: dict[str, int] = {}
+        self.count = 0
+        # Kept elements in page order: [element, attributes, own text, whole text].
+        self.kept: list[list] = []
+        # Text pieces while an element whose whole text is wanted is open, and where such an element begins among them.
+        self.pieces: list[str] = []
+        self.begins: dict[int, int] = {}
+
+    def close_to(self, depth: int) -> None:
+        for e in reversed(self.open[depth:]):
+            self.names[e.tag] -= 1
+            if e.node in self.begins:
+                e.record[3] = "".join(self.pieces[self.begins.pop(e.node):])
+                if not self.begins:
+                    self.pieces.clear()
         del self.open[depth:]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        closing = CLOSES.get(tag, ())
-        for depth in range(len(self.open) - 1, -1, -1):
-            name = self.tag[self.open[depth]]
-            if name in closing:
-                self._close_to(depth)
-                break
-            if name in SCOPE:
-                break
-        node = len(self.tag)
-        parent = self.open[-1] if self.open else -1
-        if parent >= 0:
-            self.kids[parent] += 1
-        self.tag.append(tag)
-        self.attrs.append({k: v or "" for k, v in attrs})
-        self.parent.append(parent)
-        self.own.append(None)
-        self.kids.append(0)
-        self.span.append([len(self.pieces), len(self.pieces)])
+        closing = CLOSES.get(tag)
+        if closing and any(self.names.get(c) for c in closing):
+            for depth in range(len(self.open) - 1, -1, -1):
+                name = self.open[depth].tag
+                if name in closing:
+                    self.close_to(depth)
+                    break
+                if name in SCOPE:
+                    break
+        up = self.open[-1] if self.open else self.root
+        up.kids += 1
+        up.counts[tag] = ordinal = up.counts.get(tag, 0) + 1
+        own_id = None
+        for k, v in attrs:
+            if k == "id":
+                own_id = v or ""
+        states = self.paths.enter(up.states, tag, own_id) if self.paths else ()
+        e = _Element(tag, self.count, up, ordinal, own_id, states)
+        self.count += 1
+        if any(None in s for s in states) if self.paths else self.keep(tag):
+            whole = self.content(tag)
+            e.record = [e, {k: v or "" for k, v in attrs}, None, "" if whole else None]
+            self.kept.append(e.record)
+            if whole and tag not in VOID:
+                self.begins[e.node] = len(self.pieces)
         if tag not in VOID:
-            self.open.append(node)
+            self.open.append(e)
+            self.names[tag] = self.names.get(tag, 0) + 1
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.names.get(tag):
+            return
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.tag[self.open[depth]] == tag:
-                self._close_to(depth)
+            if self.open[depth].tag == tag:
+                self.close_to(depth)
                 return
 
     def handle_data(self, data: str) -> None:
         if not self.open:
             return
         top = self.open[-1]
-        if not self.kids[top]:
-            self.own[top] = (self.own[top] or "") + data
-        self.pieces.append((top, data))
-
-
-def _nodes(markup: str, keep, content) -> Iterator[tuple]:
-    """Rows of the elements ``keep(tag, path, anchors)`` accepts; ``content(tag, anchors)`` asks for the whole text."""
-    tree = _Tree()
-    tree.feed(markup)
-    tree.close()
-    tree._close_to(0)
-    total: dict = {}
-    ordinal, path, above = [], [], []
-    for node, (tag, parent) in enumerate(zip(tree.tag, tree.parent)):
-        total[parent, tag] = total.get((parent, tag), 0) + 1
-        ordinal.append(total[parent, tag])
-        path.append(f"{path[parent]}/{tag}" if parent >= 0 else tag)
-        upper = above[parent] if parent >= 0 else ()
-        own_id = tree.attrs[node].get("id")
-        # (id, steps down to it, length of its path) of every element with an id at or above.
-        above.append((*upper, (own_id, path[node].count("/") + 1, len(path[node]))) if own_id else upper)
-    for node, (tag, parent) in enumerate(zip(tree.tag, tree.parent)):
-        if not keep(tag, path[node], above[node]):
-            continue
-        line, n = [], node
-        while n >= 0:
-            line.append(n)
-            n = tree.parent[n]
+        if top.record is not None and not top.kids:
+            top.record[2] = (top.record[2] or "") + data
+        if self.begins:
+            self.pieces.append(data)
+
+
+def _nodes(markup: str, keep, content, paths: _Paths | None = None) -> Iterator[tuple]:
+    """Rows of the elements that end one of ``paths``, else of those ``keep(tag)`` accepts; ``content(tag)`` asks for the whole text."""
+    reader = _Reader(keep, content, paths)
+    reader.feed(markup)
+    reader.close()
+    reader.close_to(0)
+    for e, attrs, own, text in reader.kept:
+        line, at = [], e
+        while at is not reader.root:
+            line.append(at)
+            at = at.up
         line.reverse()
-        start, stop = tree.span[node]
-        text = "".join(t for _, t in tree.pieces[start:stop]) if content(tag) else None
-        yield (node, parent, tag, path[node].split("/"), [ordinal[n] for n in line],
-               [total[tree.parent[n], tree.tag[n]] - ordinal[n] + 1 for n in line],
-               [{"id": i, "depth": d} for i, d, _ in above[node]], list(tree.attrs[node].items()), tree.own[node], text)
+        yield (e.node, e.up.node, e.tag, [n.tag for n in line], [n.ordinal for n in line],
+               [n.up.counts[n.tag] - n.ordinal + 1 for n in line],
+               [{"id": n.own_id, "depth": d} for d, n in enumerate(line, start=1) if n.own_id], list(attrs.items()), own, text)
 
 
 def html_nodes(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("page_id",),
                tags: Iterable[str] | None = None, content: Iterable[str] | None = None,
-               paths: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
+               paths: Mapping[str, Iterable[str]] | None = None, errors: bool = False) -> DataFrame:
     """One row per element: path, ordinals, ids above it, attributes, own text, whole text.
 
     ``tags`` keeps only those elements, ``paths`` only those on one of the tag paths below an anchor
     id ('' is the root), and ``content`` fills the whole text only for those tags. So the step emits
     what the query reads and not every page once per nesting level.
+
+    A page the parser gives up on has no elements. With ``errors`` it has one row, of tag ``#error``, whose text says why.
     """
     by_tag = frozenset(tags) if tags is not None else None
     full = frozenset(content) if content is not None else None
-    wanted = {a: frozenset(p) for a, p in paths.items()} if paths is not None else None
+    wanted = {a: sorted(p) for a, p in paths.items()} if paths is not None else None
     carry = list(carry)
     fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in carry)
 
-    def keep(tag: str, path: str, anchors: tuple) -> bool:
-        if wanted is not None:
-            return path in wanted.get("", ()) or any(i in wanted and path[n + 1:] in wanted[i] for i, _, n in anchors)
+    def keep(tag: str) -> bool:
         return by_tag is None or tag in by_tag
 
     def whole(tag: str) -> bool:
         return full is None or tag in full
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = _Paths(wanted) if wanted is not None else None
         for batch in batches:
-            rows, at = [], []
-            for i, markup in enumerate(batch.column(html).to_pylist()):
-                if markup:
-                    found = list(_nodes(markup, keep, whole))
-                    rows += found
-                    at += [i] * len(found)
-            columns = zip(*rows) if rows else [()] * len(NODE_TYPES)
-            arrays = [batch.column(c).take(pa.array(at, pa.int32())) for c in carry]
-            arrays += [pa.array(list(col), kind) for col, kind in zip(columns, NODE_TYPES.values())]
-            yield pa.RecordBatch.from_arrays(arrays, [*carry, *NODE_TYPES])
+            rows, at, size = [], [], 0
+
+            def out() -> pa.RecordBatch:
+                columns = zip(*rows) if rows else [()] * len(NODE_TYPES)
+                arrays = [batch.column(c).take(pa.array(at, pa.int32())) for c in carry]
+                arrays += [pa.array(list(col), kind) for col, kind in zip(columns, NODE_TYPES.values())]
+                return pa.RecordBatch.from_arrays(arrays, [*carry, *NODE_TYPES])
+
+            for i, markup in enumerate(batch.column(html)):
+                try:
+                    for row in _nodes(markup.as_py() or "", keep, whole, automaton):
+                        rows.append(row)
+                        at.append(i)
+                        size += len(row[8] or "") + len(row[9] or "")
+                        if len(rows) >= BATCH_NODES or size >= BATCH_TEXT:
+                            yield out()
+                            rows, at, size = [], [], 0
+                except (AssertionError, ValueError, LookupError, NotImplementedError) as e:
+                    if errors:
+                        rows.append((-1, -1, ERROR, [ERROR], [1], [1], [], [], f"{type(e).__name__}: {e}", None))
+                        at.append(i)
+            yield out()
 
     return pages.select(*carry, html).mapInArrow(parse, f"{fields}, {NODE_COLUMNS}")
 
 
+def page_errors(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("page_id",)) -> DataFrame:
+    """The pages the parser gave up on, and why: ``carry`` and ``error``."""
+    found = html_nodes(pages, html, carry, tags=[], content=[], errors=True)
+    return found.where(F.col("tag") == ERROR).select(*carry, F.col("text").alias("error"))
+
+
 def rule_rows(rules: Iterable[dict]) -> list[dict]:
     """Rules with their path split into tags and ordinals.
 
