@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldglean.functions.scalars import base_name, log_message, na_to_null
-from fieldglean.operators.relational import number_blocks, union_by_name
+from fieldglean.operators.relational import number_blocks
+from fieldglean.sources import csv_folder
 
 # The two title files.
 TITLES_SCHEMA = """tconst string, titleType string, primaryTitle string, originalTitle string, isAdult string,
@@ -63,48 +63,17 @@ def from_manifest(inventory: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def read_csv_folder(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(rows of all CSV files by column name, rejected files).
+    """(rows of all CSV files by column name, files with something left out: ``path``, ``reason``, how often and its first line).
 
-    Files may have different headers, so they are grouped by header line and each group is one
-    scan. The driver sees one row per distinct header with its list of files, not the data. A file
-    without a readable first line is rejected. Quoted fields may hold line breaks, so a file is read by one task. A row with
-    more or fewer fields than its header is left out, and its file is listed with the reason.
+    Files may have different headers and are read in blocks, so a large file is read by many tasks (see ``csv_folder.read``).
     """
-    lines = spark.read.option("wholetext", False).text(f"{folder}/*.csv").select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
-        F.monotonically_increasing_id().alias("m"))
-    first = lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "m").alias("header"))
-    files = (file_inventory(spark, folder, "*.csv").select("path", "length")
-             .withColumn("path", F.regexp_replace("path", "^file:/+", "/")))
-    first = first.withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
-    named = files.join(first, "path", "left")
-    usable = F.coalesce(F.length(F.trim("header")) > 0, F.lit(False))
-    groups = named.filter(usable).groupBy("header").agg(F.collect_list("path").alias("paths"))
-    frames = []
-    for header, paths in groups.orderBy("header").collect():
-        names = next(csv.reader([header]))
-        schema = T.StructType([T.StructField(n or f"_c{i}", T.StringType()) for i, n in enumerate(names)] + [T.StructField("__bad", T.StringType())])
-        # The mark reads the other fields too: a scan of the record of broken rows alone is refused.
-        frames.append(spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-                      .option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__bad").csv(paths)
-                      .select(*schema.names[:-1], F.when(F.col("__bad").isNotNull(), F.try_add(
-                          F.length(F.concat_ws("", *schema.names[:-1])), F.lit(1))).alias("__bad"),
-                              F.col("_metadata.file_path").alias("__path"),
-                              F.col("_metadata.file_block_start").alias("__start"),
-                              F.monotonically_increasing_id().alias("__m")))
-    rejected = named.filter(~usable).select("path", F.lit("no header line").alias("reason"))
-    if not frames:
-        return spark.createDataFrame([], "__path string, __start bigint, __m bigint"), rejected
-    rows = union_by_name(*frames)
-    broken = rows.filter("__bad is not null").select(
-        F.regexp_replace("__path", "^file:/+", "/").alias("path"), F.lit("row with another number of fields than the header").alias("reason"))
-    return rows.filter("__bad is null").drop("__bad"), rejected.unionByName(broken.distinct())
+    rows, left_out = csv_folder.read(spark, folder)
+    return rows, left_out.groupBy("path", "reason").agg(F.count("*").alias("n"), F.min("line").alias("first_line"))
 
 
 def number_folder_rows(df: DataFrame, name: str, offset: int = 0) -> DataFrame:
     """Rows of ``read_csv_folder`` with contiguous numbers over files and lines, without its marks."""
-    marks = ["__path", "__start", "__m"]
-    return number_blocks(df, ["__path", "__start"], "__m", name, offset).drop(*marks)
+    return number_blocks(df, ["__path", "__start"], "__m", name, offset).drop(*csv_folder.MARKS)
 
 
 def read_log(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
