@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from fieldglean.queries import derived, jobs, tables, texts, web  # noqa: F401
+    from fieldglean.queries import derived, jobs, stored, tables, texts, web  # noqa: F401

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -59,17 +60,26 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage, on the shared storage the cluster names.
-
-    For small results that cost much and are read several times. The files survive a lost executor.
-    Only a local session without a configured folder (tests, a laptop) gets a temporary one.
-    """
-    spark = df.sparkSession
+def _shared(spark: SparkSession) -> None:
+    """See that there is a checkpoint folder: the one the cluster names, for a local session without one (tests, a laptop) a temporary one."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="fieldglean-"))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name on the storage all executors share."""
+    _shared(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute once and cut the lineage, on the shared storage the cluster names.
+
+    For small results that cost much and are read several times. The files survive a lost executor.
+    """
+    _shared(df.sparkSession)
     return df.checkpoint(eager=True)
