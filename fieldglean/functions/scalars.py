@@ -232,6 +232,15 @@ def log_message(line: Column | str) -> Column:
     return F.substr(c, F.instr(c, " - ") + F.lit(3))
 
 
+# Fixed value: what a site shows in place of a listing that is gone.
+GONE = "Listing Not Found or Unavailable"
+
+
+def available(first_text: Column | str) -> Column:
+    """Whether a listing page still shows its listing, by the page's first text. A page without text counts as available."""
+    return F.coalesce(strip(first_text) != GONE, F.lit(True))
+
+
 def plain_quotes(c: Column | str) -> Column:
     """Drop curly quotes and straight apostrophes."""
     return F.translate(col(c), "“”‘’'", "")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fieldglean.plans import listing_jobs
+from fieldglean.plans import listing_jobs, listings
 from fieldglean.queries import query
+from fieldglean.rules.sites import BIZMLS_DETAIL
 from fieldglean.session import spread
 from fieldglean.sources.readers import table
 
@@ -98,3 +99,35 @@ def parent_child_runs(spark, sf):
     parents = store.parents.join(latest, ["title", "version_no"]).join(store.ids, "title")
     outlets = store.children.select(F.col("parent_id").alias("id"), "url", F.col("title").alias("outlet"), "asking_price", "employees")
     return parents.select("id", "title", "headquarters", "locations", "version_no", "on_sale").join(outlets, "id", "left")
+
+
+@query("member_list", """
+    SELECT 'm/' || CAST(floor(s_suppkey / 50) AS BIGINT) AS page_id,
+           CAST(row_number() OVER (PARTITION BY floor(s_suppkey / 50) ORDER BY s_suppkey) AS INTEGER) AS pos,
+           s_name AS member, CASE WHEN s_acctbal > 0 THEN 'Gold' END AS member_type FROM supplier""")
+def member_list(spark, sf):
+    """Members of a directory, 50 suppliers a page; some show no type."""
+    key = F.col("s_suppkey")
+    kind = F.when(F.col("s_acctbal") > 0, "<span>Gold</span>").otherwise("")
+    rows = table(spark, sf, "supplier").withColumn("row", _text("<li><div></div><div><div><a>", F.col("s_name"), "</a></div><div></div><div>", kind, "</div></div></li>"))
+    pages = _gather(rows, _text("m/", F.floor(key / 50)), "s_suppkey", '<html><body><ul id="members-list">', "</ul></body></html>")
+    return listings.member_names(pages.withColumnRenamed("url", "page_id"))
+
+
+@query("last_pages", """
+    SELECT c_custkey AS page_id, CAST(c_nationkey AS VARCHAR) AS last_page FROM customer""")
+def last_pages(spark, sf):
+    """The last but one item of a page list is its last page, a link or a plain number."""
+    c = spread(table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal"))
+    tag = F.when(F.col("c_acctbal") > 0, "a").otherwise("span")
+    markup = _text("<ul><li><span>0</span></li><li><", tag, ">", F.col("c_nationkey"), "</", tag, "></li><li><a>next</a></li></ul>")
+    return listings.list_last_page(c.select(F.col("c_custkey").alias("page_id"), markup.alias("html")))
+
+
+@query("handler_links", f"""
+    SELECT p_partkey, '{BIZMLS_DETAIL[0]}' || CAST(p_partkey AS VARCHAR) || '{BIZMLS_DETAIL[1]}' AS link FROM part""")
+def handler_links(spark, sf):
+    """Addresses of detail pages out of click handlers."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name")
+    handler = _text("open('x.asp?name=", F.col("p_name"), "&LIST_NUMBER=", F.col("p_partkey"), "&gen_hp=1&gen_hp=2')")
+    return p.select("p_partkey", listings.bizmls_link(handler).alias("link"))

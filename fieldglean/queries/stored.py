@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fieldglean.operators import snapshots
+from fieldglean.operators import relational, snapshots
 from fieldglean.queries import query
 from fieldglean.session import cut, scratch
 from fieldglean.sources import csv_folder, stores, writers
-from fieldglean.sources.readers import number_folder_rows, read_csv_folder, table
+from fieldglean.sources.readers import file_inventory, from_manifest, number_folder_rows, of_type, read_csv_folder, read_delimited, read_keys, read_log, table
 
 
 def _orders_folder(spark, sf):
@@ -93,3 +93,88 @@ def upsert_table_batches(spark, sf):
                              F.col("o_orderpriority").alias("title"), F.col("o_orderkey").alias("row_no"))
     stores.upsert_table(root, incoming, key, "row_no", live, "orders")
     return stores.read_table(spark, root)
+
+
+@query("log_messages", """
+    SELECT event_type || ' - user ' || CAST(user_id AS VARCHAR) AS message, count(*) AS n FROM events GROUP BY 1""")
+def log_messages(spark, sf):
+    """A log with a line per event, read back without what precedes the first separator."""
+    path = scratch(spark, "log")
+    e = table(spark, sf, "events").select("ts", "event_type", "user_id")
+    e.select(F.concat_ws(" - ", F.col("ts").cast("string"), "event_type", F.concat(F.lit("user "), F.col("user_id").cast("string")))).write.text(path)
+    return read_log(spark, path).groupBy("message").agg(F.count("*").alias("n"))
+
+
+@query("key_list_lookup", """
+    SELECT p_partkey, p_name FROM part WHERE p_brand IN (SELECT p_brand FROM part WHERE p_size > 45)""")
+def key_list_lookup(spark, sf):
+    """Parts of the brands on a list of keys, a CSV with a header."""
+    path, part = scratch(spark, "keys"), table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    writers.write_csv(part.filter("p_size > 45").select("p_brand").distinct(), path)
+    return part.join(read_keys(spark, path), "p_brand", "left_semi").select("p_partkey", "p_name")
+
+
+@query("manifest_files", """
+    SELECT o_orderstatus AS status, o_orderstatus <> 'P' AS listed FROM orders GROUP BY 1""")
+def manifest_files(spark, sf):
+    """Files of a folder by status, and whether a manifest names them."""
+    folder = scratch(spark, "inventory")
+    writers.write_csv(table(spark, sf, "orders").select("o_orderstatus", "o_orderkey"), folder, by=["o_orderstatus"])
+    files = of_type(file_inventory(spark, folder), "csv").withColumn("status", F.regexp_extract("path", "o_orderstatus=([^/]*)/", 1))
+    # A task writes files of one name in each status; the name of this list holds the status, too.
+    files = files.withColumn("name", F.concat_ws("/", "status", "name"))
+    manifest = files.filter("status <> 'P'").select(F.lit(1).alias("id"), "name")
+    named = from_manifest(files, manifest).select("status").distinct().withColumn("listed", F.lit(True))
+    return files.select("status").distinct().join(named, "status", "left").select("status", F.coalesce("listed", F.lit(False)).alias("listed"))
+
+
+@query("state_files", """
+    SELECT 'S' || CAST(c_nationkey AS VARCHAR) AS state, c_custkey, c_name FROM customer""")
+def state_files(spark, sf):
+    """Customers in a folder per state; a batch that is written again adds nothing."""
+    path, c = scratch(spark, "states"), table(spark, sf, "customer")
+    rows = c.select(F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("state"), "c_custkey", "c_name", (F.col("c_acctbal") > 0).alias("rich"))
+    writers.write_by_state(rows.filter("rich").drop("rich"), path, "rich")
+    writers.write_by_state(rows.filter("not rich").drop("rich"), path, "poor")
+    writers.write_by_state(rows.filter("rich").drop("rich"), path, "rich")
+    return writers.read_batches(spark, path, "csv").select("state", F.col("c_custkey").cast("long").alias("c_custkey"), "c_name")
+
+
+@query("outcome_files", """
+    SELECT CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'error' ELSE 'N/A' END AS outcome, o_custkey,
+           string_agg(CAST(o_orderkey AS VARCHAR), ' ' ORDER BY o_orderkey) AS pages FROM orders GROUP BY 1, 2""")
+def outcome_files(spark, sf):
+    """Orders of a customer routed by outcome, their keys as a list of pages."""
+    path, o = scratch(spark, "outcomes"), table(spark, sf, "orders").select("o_orderstatus", "o_custkey", "o_orderkey")
+    outcome = F.when(F.col("o_orderstatus") == "F", "done").when(F.col("o_orderstatus") == "O", "error").otherwise("N/A").alias("outcome")
+    # A customer's orders are few.
+    writers.write_by_outcome(o.groupBy(outcome, "o_custkey").agg(F.sort_array(F.collect_list("o_orderkey")).alias("pages")), path)
+    back = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return back.select("outcome", F.col("o_custkey").cast("long").alias("o_custkey"), F.col("pages").cast("string").alias("pages"))
+
+
+@query("exported_notes", """
+    SELECT CAST(doc_id AS VARCHAR) AS id, nullif(lang, '') AS lang, 'a "' || coalesce(source, '') || '"' || chr(10) || 'b' AS note FROM documents""")
+def exported_notes(spark, sf):
+    """An export with quotes and line breaks in its fields, read back: missing text is an empty field."""
+    path, d = scratch(spark, "export"), table(spark, sf, "documents").select("doc_id", "lang", "source")
+    note = F.concat(F.lit('a "'), F.coalesce("source", F.lit("")), F.lit('"\nb'))
+    writers.export_csv(d.select(F.col("doc_id").cast("string").alias("id"), "lang", note.alias("note")), path)
+    return read_delimited(spark, path, "id string, lang string, note string", sep=",", null="", quoted_breaks=True)
+
+
+@query("table_versions", """
+    SELECT 1 AS v, count(*) AS n FROM part WHERE p_size > 25 UNION ALL SELECT 2, count(*) FROM part""")
+def table_versions(spark, sf):
+    """Two versions of a table beside each other: the first stays as it was."""
+    root, part = scratch(spark, "versions"), table(spark, sf, "part").select("p_partkey", "p_size")
+    first = writers.write_version(part.filter("p_size > 25"), root, 1)
+    second = writers.write_version(spark.read.parquet(first).unionByName(part.filter("not p_size > 25")), root, 2)
+    count = lambda path, v: spark.read.parquet(path).agg(F.lit(v).alias("v"), F.count("*").alias("n"))
+    return count(first, 1).unionByName(count(second, 2))
+
+
+@query("merged_columns", """
+    SELECT c_custkey, concat_ws(' ', c_name, c_mktsegment) AS label FROM customer""")
+def merged_columns(spark, sf):
+    return relational.merge_matching_columns(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment"), "name|SEGMENT", "label")

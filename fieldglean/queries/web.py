@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fieldglean.functions import scalars as S
 from fieldglean.operators import html
+from fieldglean.plans import registry
 from fieldglean.queries import query
 from fieldglean.rules.sites import rule
 from fieldglean.session import spread
@@ -78,3 +79,28 @@ def html_presence(spark, sf):
     gone = F.contains(F.lower("html"), F.lit("listing not found or unavailable"))
     return pages.join(marked, "page_id", "left").select(
         "page_id", F.coalesce("has_ad", F.lit(False)).alias("has_ad"), F.coalesce(~gone, F.lit(True)).alias("available"))
+
+
+@query("page_attributes", """
+    SELECT page_id, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang,
+           nullif(regexp_extract(html, 'track\\(([0-9]+)\\)', 1), '') AS tracked, contains(html, '<article><h1>') AS headed FROM pages""")
+def page_attributes(spark, sf):
+    """An attribute, a value out of a script, and whether a node is shown."""
+    pages = _pages(spark, sf)
+    lang = registry.attribute(pages, "/html", "lang").withColumnRenamed("value", "lang")
+    tracked = registry.script_value(pages, r"track\(([0-9]+)\)").withColumnRenamed("value", "tracked")
+    headed = registry.has_node(pages, "/html/body/article/h1").select("page_id", F.lit(True).alias("headed"))
+    return pages.select("page_id").join(lang, "page_id", "left").join(tracked, "page_id", "left").join(headed, "page_id", "left").select(
+        "page_id", F.nullif("lang", F.lit("")).alias("lang"), "tracked", F.coalesce("headed", F.lit(False)).alias("headed"))
+
+
+@query("listing_availability", """
+    SELECT p_partkey, p_size <= 40 AS available FROM part""")
+def listing_availability(spark, sf):
+    """Detail pages of parts; those of large ones show in their first heading that they are gone, or show no heading."""
+    p = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_size"))
+    head = F.when(F.col("p_size") > 40, F.lit(S.GONE)).when(F.col("p_size") > 5, F.col("p_name"))
+    markup = F.concat(F.lit("<html><body>"), F.coalesce(F.concat(F.lit("<h1> "), head, F.lit("</h1>")), F.lit("")), F.lit("<p>text</p></body></html>"))
+    pages = p.select(F.col("p_partkey").alias("page_id"), markup.alias("html"))
+    first = html.page_fields(html.matched_nodes(pages, [rule("any", "head", "/html/body/h1")], site="any"), ["page_id"], ["head"], F.col("value"))
+    return p.join(first, F.col("p_partkey") == F.col("page_id"), "left").select("p_partkey", S.available("head").alias("available"))

@@ -28,13 +28,15 @@ def stored_table(spark: SparkSession, path: str | None = None, **jdbc: str) -> D
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: str, sep: str = "\t",
-                   null: str = "\\N", header: bool = True, partitions: int | None = None) -> DataFrame:
+                   null: str = "\\N", header: bool = True, partitions: int | None = None, quoted_breaks: bool = False) -> DataFrame:
     """Delimited text with a null marker; the usual missing-value texts are NULL too.
 
+    With ``quoted_breaks`` a quoted field may hold line breaks, and a file is one split.
+
     A gzip file is one split, so ``partitions`` spreads its rows before further work.
     """
     raw = (spark.read.schema(schema).option("sep", sep).option("nullValue", null).option("header", header)
-           .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+           .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").option("multiLine", quoted_breaks).csv(path))
     if partitions:
         raw = raw.repartition(partitions)
     return raw.select(*[na_to_null(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)

@@ -15,6 +15,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", by: Sequence[st
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
+def export_csv(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """CSV for people: missing text is written as an empty field, missing numbers as they are."""
+    write_csv(df.fillna(""), path, by=by)
+
+
 def append_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     writer = df.write.mode("append")
     (writer.partitionBy(*by) if by else writer).parquet(path)
