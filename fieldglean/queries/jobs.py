@@ -58,6 +58,42 @@ def listing_job_runs(spark, sf):
     return listing_jobs.run_site(store, *second, "franchiseflippers", 2, 2024).drop("checksum")
 
 
+def _murphy_pages(parts, status: Column):
+    """Listing pages of 50 parts each, three blocks before the rows, and a detail page per part."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    cell = lambda *x: _text("<li><span>", *x, "</span></li>")
+    row = _text('<div><h2><a href="m/', key, '">', F.col("p_name"), "</a></h2><div></div><div><ul>", cell(status), "<li></li></ul><ul>", cell(F.col("p_type")),
+                cell("$", F.format_number("p_retailprice", 2)), cell("M", key), "</ul><ul><li></li><li></li>", cell("$", size, ",000"),
+                "</ul></div><div></div><div><strong>Business Category</strong><p>", F.col("p_brand"), "</p><strong>About</strong><p>Size ", size,
+                "</p><p> now</p></div></div>")
+    listed = _gather(parts.withColumn("row", row), _text("list/", F.floor(key / 50)), "p_partkey",
+                     '<html><body><div id="list_div"><div><div></div><div></div><div></div>', "</div></div></body></html>")
+    markup = _text("<html><body><div></div><div></div><div><div><div><div></div><div><div></div><div><div></div><div></div><div></div><div><ul><li><ul>",
+                   cell("$", size, ".50"), cell("Yes"), "</ul></li><li></li><li></li><li><ul><li></li><li></li>", cell("$", key), cell(F.col("p_brand")),
+                   "</ul></li></ul></div></div></div></div></div></div></body></html>")
+    return listed, parts.select(_text("m/", key).alias("url"), markup.alias("html"))
+
+
+_MURPHY_TEXT = ["relocatable", "account_rec_incl", "inventory_incl", "liabilities_incl", "real_estate_incl", "ff_and_e_incl", "other_incl", "leasehold_incl"]
+_MURPHY_MONEY = ["down_payment", "discretionary_earnings", "inventory", "liabilities", "real_estate", "ff_and_e", "other", "leasehold"]
+
+
+@query("murphy_job_runs", f"""
+    WITH v AS (SELECT *, 'Open' AS status, 1 AS version_no, 1 AS run, p_size > 10 AND p_size <= 25 AS on_sale FROM part WHERE p_size <= 40
+               UNION ALL SELECT *, 'Sold', CASE WHEN p_size <= 40 THEN 2 ELSE 1 END, 2, true FROM part WHERE p_size > 25)
+    SELECT 'M' || CAST(p_partkey AS VARCHAR) AS listing_number, p_name AS title, status, p_type AS state, round(p_retailprice, 2) AS price,
+           p_size * 1000.0 AS total_sales, p_brand AS category, 'Size ' || CAST(p_size AS VARCHAR) || 'now' AS description, p_size + 0.5 AS account_rec,
+           CAST(p_partkey AS DOUBLE) AS total_assets, p_brand AS total_assets_incl, {", ".join(
+               ["'Yes' AS account_rec_incl" if c == "account_rec_incl" else f"CAST(NULL AS VARCHAR) AS {c}" for c in _MURPHY_TEXT]
+               + [f"CAST(NULL AS DOUBLE) AS {c}" for c in _MURPHY_MONEY])}, version_no, run, on_sale FROM v""")
+def murphy_job_runs(spark, sf):
+    """Two runs of a site whose rows hold labelled text blocks: small parts go, large ones come, those above the middle are sold."""
+    parts = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
+    store = listing_jobs.run_site(None, *_murphy_pages(parts.filter("p_size <= 40"), F.lit("Open")), "murphybusiness", 1, 2024)
+    second = _murphy_pages(parts.filter("p_size > 10"), F.when(F.col("p_size") > 25, "Sold").otherwise("Open"))
+    return listing_jobs.run_site(store, *second, "murphybusiness", 2, 2024).drop("checksum")
+
+
 def _resales_pages(suppliers, lines, flag: str, town: Column):
     """A page per supplier with a link per flag its lines show, and a page per link."""
     sold = lines.groupBy("l_suppkey", flag).agg(F.count("*").alias("n"), F.max("l_quantity").cast("int").alias("most"))
