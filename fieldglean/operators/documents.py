@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldglean.rules.contacts import FLAGS, HEADER_RULES, Layout
+from fieldglean.rules.contacts import EXACT_HEADER_RULES, FLAGS, HEADER_RULES, Layout
 
 
 def pattern_flags(text: Column | str, patterns: Mapping[str, str]) -> list[Column]:
@@ -90,10 +90,13 @@ def integers_in(text: Column, patterns: Sequence[tuple[str, int]]) -> Column:
     return F.transform(F.concat(*parts), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("bigint"))
 
 
-def header_field(text: Column) -> Column:
-    """Contact column for a header cell, by the first rule that fits; NULL when none does."""
+def header_field(text: Column, exact: bool = False) -> Column:
+    """Contact column for a header cell, by the first rule that fits; NULL when none does.
+
+    Legacy runs find no column for a plain "Name"; ``exact`` takes it for the owner's.
+    """
     chain = None
     for pattern, name in HEADER_RULES:
-        cond = text.rlike(FLAGS + pattern)
+        cond = text.rlike(FLAGS + (EXACT_HEADER_RULES.get(name, pattern) if exact else pattern))
         chain = F.when(cond, F.lit(name)) if chain is None else chain.when(cond, F.lit(name))
     return chain

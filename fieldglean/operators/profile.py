@@ -38,12 +38,6 @@ def top_k(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def long_form(df: DataFrame, cols: Sequence[str], value_type: str, key: str = "column_name") -> DataFrame:
-    """One row per (row, column): a narrow step, no shuffle."""
-    pairs = F.array(*[F.struct(F.lit(c).alias(key), F.col(c).cast(value_type).alias("value")) for c in cols])
-    return df.select(F.inline(pairs))
-
-
 def present(c: str) -> Column:
     """The column as a double, NaN counting as missing."""
     v = F.col(c).cast("double")

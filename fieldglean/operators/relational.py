@@ -57,12 +57,6 @@ def last_per_key(df: DataFrame, key: Sequence[str], order: str) -> DataFrame:
             .select(*key, *[F.col("__r")[c].alias(c) for c in rest]))
 
 
-def first_per_key(df: DataFrame, key: Sequence[str], order: Column | str) -> DataFrame:
-    rest = [c for c in df.columns if c not in key]
-    return (df.groupBy(*key).agg(F.min_by(F.struct(*rest), order).alias("__r"))
-            .select(*key, *[F.col("__r")[c].alias(c) for c in rest]))
-
-
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, order: Column | str,
            default: str = "") -> DataFrame:
     """Left lookup of the first row per key; no row gives the default."""

@@ -220,14 +220,14 @@ def store_contacts(stored: DataFrame, contacts: DataFrame) -> DataFrame:
     return upsert(stored, contacts, ["fdd_name", "phone"], "row_no", F.col("phone") != "")
 
 
-def contact_tables(cells: DataFrame) -> DataFrame:
+def contact_tables(cells: DataFrame, exact: bool = False) -> DataFrame:
     """Extracted tables ``(doc, row_no, col_no, text)``, header in row 0, to the contact columns.
 
     A header decides the column by the first rule it fits. Several owner, mail or address columns are
     joined with a blank in table order, of any other repeated column the last counts. ``poor`` marks
     documents in which more than eight of the seventeen target columns hold nothing.
     """
-    header = cells.filter("row_no = 0").select("doc", "col_no", header_field(F.col("text")).alias("field"))
+    header = cells.filter("row_no = 0").select("doc", "col_no", header_field(F.col("text"), exact).alias("field"))
     header = header.filter(F.col("field").isNotNull() & (F.col("field") != ""))
     body = cells.filter("row_no > 0 and text is not null").join(header, ["doc", "col_no"])
 

@@ -81,17 +81,23 @@ def html_presence(spark, sf):
         "page_id", F.coalesce("has_ad", F.lit(False)).alias("has_ad"), F.coalesce(~gone, F.lit(True)).alias("available"))
 
 
-@query("page_attributes", """
-    SELECT page_id, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang,
-           nullif(regexp_extract(html, 'track\\(([0-9]+)\\)', 1), '') AS tracked, contains(html, '<article><h1>') AS headed FROM pages""")
-def page_attributes(spark, sf):
-    """An attribute, a value out of a script, and whether a node is shown."""
-    pages = _pages(spark, sf)
-    lang = registry.attribute(pages, "/html", "lang").withColumnRenamed("value", "lang")
-    tracked = registry.script_value(pages, r"track\(([0-9]+)\)").withColumnRenamed("value", "tracked")
-    headed = registry.has_node(pages, "/html/body/article/h1").select("page_id", F.lit(True).alias("headed"))
-    return pages.select("page_id").join(lang, "page_id", "left").join(tracked, "page_id", "left").join(headed, "page_id", "left").select(
-        "page_id", F.nullif("lang", F.lit("")).alias("lang"), "tracked", F.coalesce("headed", F.lit(False)).alias("headed"))
+@query("page_language", """
+    SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS value FROM pages WHERE contains(html, '<html lang="')""")
+def page_language(spark, sf):
+    return registry.attribute(_pages(spark, sf), "/html", "lang").filter("value is not null")
+
+
+@query("page_script_value", """
+    SELECT page_id, regexp_extract(html, 'track\\(([0-9]+)\\)', 1) AS value FROM pages WHERE regexp_matches(html, 'track\\([0-9]+\\)')""")
+def page_script_value(spark, sf):
+    """A number that a script of the page passes on."""
+    return registry.script_value(_pages(spark, sf), r"track\(([0-9]+)\)")
+
+
+@query("pages_with_heading", """
+    SELECT page_id FROM pages WHERE contains(html, '<article><h1>')""")
+def pages_with_heading(spark, sf):
+    return registry.has_node(_pages(spark, sf), "/html/body/article/h1").select("page_id")
 
 
 @query("listing_availability", """

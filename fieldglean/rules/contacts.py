@@ -45,6 +45,8 @@ HEADER_RULES = [
     (r"^(?!number).*franchise.*|.*business.*|.*entity.*|.*company.*|.*legal.*|licensee|office", "company_name"),
     (r".*title.*|location", ""),
 ]
+# The owner rule above never sees a plain "Name", for it asks for a line break and blanks before it. Without them:
+EXACT_HEADER_RULES = {"owner_name": r"^(?!franchise|business|fdd|location|entity|territory|office|company|legal|branch|address)name|owner|proprietor|first|last|personnel|contact"}
 
 # Columns a header can lead to, those that join repeated columns, number of target columns.
 TABLE_COLUMNS = ["fdd_name", "method", "regex", "owner_name", "email", "phone", "website", "state", "city", "address", "zipcode",

@@ -18,6 +18,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fieldglean.session import cut as written
 from fieldglean.session import ship_package
 
 #: Bytes of a block: one task reads one or a few of them, and the record that crosses its end.
@@ -121,6 +122,11 @@ def headers(spark: SparkSession, folder: str, glob: str = "*.csv", most: int = M
     return listed.mapInArrow(read, "path string, length long, header array<string>, reason string")
 
 
+def tasks(files: DataFrame, size: int) -> int:
+    """Tasks for the blocks of the files: one each, up to a bound."""
+    return int(min(files.agg(F.sum(F.ceil(F.col("length") / size)).alias("n")).first()["n"] or 1, MAX_TASKS))
+
+
 def blocks(files: DataFrame, size: int) -> DataFrame:
     """``(path, header, begin, end, odd, fresh, line)``: the blocks of the files and in what state a reader comes to each.
 
@@ -129,8 +135,7 @@ def blocks(files: DataFrame, size: int) -> DataFrame:
     last = F.floor((F.col("length") - 1) / size)
     cut = files.select("path", "header", "length", F.explode(F.sequence(F.lit(0), last.cast("long"))).alias("n"))
     cut = cut.select("path", "header", (F.col("n") * size).alias("begin"), F.least((F.col("n") + 1) * size, F.col("length")).alias("end"), "length")
-    total = files.agg(F.sum(F.ceil(F.col("length") / size)).alias("n")).first()["n"] or 1
-    cut = cut.repartition(int(min(total, MAX_TASKS)), "path", "begin")
+    cut = cut.repartition(tasks(files, size), "path", "begin")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,9 +161,7 @@ def blocks(files: DataFrame, size: int) -> DataFrame:
     odd = F.coalesce(F.sum("quotes").over(before) % 2 == 1, F.lit(False))
     state = counted.select("path", "header", "begin", "end", odd.alias("odd"), F.lag("ends", 1, True).over(w).alias("after"),
                            (F.coalesce(F.sum("lines").over(before), F.lit(0)) + 1).alias("line"))
-    # The prefix sums gather a file's blocks; they are dealt out again.
-    return state.select("path", "header", "begin", "end", "odd", (F.col("after") & ~F.col("odd")).alias("fresh"), "line").repartition(
-        int(min(total, MAX_TASKS)), "path", "begin")
+    return state.select("path", "header", "begin", "end", "odd", (F.col("after") & ~F.col("odd")).alias("fresh"), "line")
 
 
 def read(spark: SparkSession, folder: str, glob: str = "*.csv", block: int = BLOCK, most: int = MAX_RECORD) -> tuple[DataFrame, DataFrame]:
@@ -166,9 +169,9 @@ def read(spark: SparkSession, folder: str, glob: str = "*.csv", block: int = BLO
 
     Columns are text, empty fields NULL, in the order of their names; names that differ in case are one. Rows carry ``MARKS``. Left out,
     as ``(path, line, reason)``: files without a usable header (line NULL), rows with another number of fields, records of more than
-    ``most`` bytes or that are not UTF-8. Blank lines are no rows. A quote inside an unquoted field counts as a quote, too.
+    ``most`` bytes or that are not UTF-8. Blank lines are no rows. The tables of files and blocks are written once to the checkpoint folder. A quote inside an unquoted field counts as a quote, too.
     """
-    found = headers(spark, folder, glob, most)
+    found = written(headers(spark, folder, glob, most))
     usable = found.filter("reason is null")
     names = F.explode("header").alias("name")
     # One row per column name comes to the driver.
@@ -213,7 +216,8 @@ def read(spark: SparkSession, folder: str, glob: str = "*.csv", block: int = BLO
                 yield out(rows)
 
     fields = ", ".join([f"`{n.replace('`', '``')}` string" for n in wanted] + ["__path string, __start long, __m long, __line long, __reason string"])
-    parsed = blocks(usable, block).mapInArrow(parse, fields)
+    # The prefix sums have gathered a file's blocks; they are dealt out again.
+    parsed = written(blocks(usable, block)).repartition(tasks(usable, block), "path", "begin").mapInArrow(parse, fields)
     no_rows = found.filter("reason is not null").select("path", F.lit(None).cast("long").alias("line"), "reason")
     broken = parsed.filter("__reason is not null").select(F.col("__path").alias("path"), F.col("__line").alias("line"), F.col("__reason").alias("reason"))
     return parsed.filter("__reason is null").drop("__reason"), no_rows.unionByName(broken)

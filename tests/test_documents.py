@@ -169,6 +169,11 @@ def test_header_fields(spark):
     got = [r.f for r in df.select("i", documents.header_field(F.col("n")).alias("f")).orderBy("i").collect()]
     assert got == ["fdd_name", "owner_name", "owner_name", "email", "phone", "website", "state", "city", "address", "zipcode",
                    "additional_information", "company_name", "", None]
+    names = ["Name", "name of owner", "Business name", "Company", "E-Mail", "City"]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
+    both = df.select("i", documents.header_field(F.col("n")).alias("f"), documents.header_field(F.col("n"), exact=True).alias("x")).orderBy("i").collect()
+    assert [r.f for r in both] == [None, "owner_name", "company_name", "company_name", "email", "city"]
+    assert [r.x for r in both] == ["owner_name", "owner_name", "company_name", "company_name", "email", "city"]
 
 
 def test_contact_tables(spark):
