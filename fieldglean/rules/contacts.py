@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 from functools import cache
-from pathlib import Path
+from importlib.resources import files
 
 # Unicode classes, any case, only '\n' ends a line.
 FLAGS = "(?diU)"
@@ -141,6 +141,7 @@ def layout(ord: int, name: str, pattern: str) -> Layout:
 
 @cache
 def catalogue() -> tuple[Layout, ...]:
-    lines = (Path(__file__).parent / "contact_patterns.txt").read_text(encoding="utf-8").splitlines()
+    # Executors import this package from an archive, where a file has no path of its own.
+    lines = files(__package__).joinpath("contact_patterns.txt").read_text(encoding="utf-8").splitlines()
     entries = [line.split("\t", 1) for line in lines if not line.startswith("#")]
     return tuple(layout(i, name, pattern) for i, (name, pattern) in enumerate(entries))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from functools import cache
-from pathlib import Path
+from importlib.resources import files
 
 RULE_SCHEMA = """site string, part string, role string, field string, priority int, anchor string, path string,
     mode string, depth int, skip_at int, skip_first int, skip_last int, path_tags array<string>, path_idx array<int>, path_end array<int>"""
@@ -34,7 +34,7 @@ def rule(site: str, field: str, xpath: str, *, part: str = "page", role: str = "
 
 @cache
 def site_paths() -> tuple[tuple[str, str, str], ...]:
-    lines = (Path(__file__).parent / "site_paths.txt").read_text(encoding="utf-8").splitlines()
+    lines = files(__package__).joinpath("site_paths.txt").read_text(encoding="utf-8").splitlines()
     return tuple(tuple(line.split("\t")) for line in lines if not line.startswith("#"))
 
 

@@ -32,18 +32,23 @@ def get_session(app: str = "fieldglean", master: str | None = None, **conf: str)
 _shipped: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so Python steps import it there from any folder."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
+def archive_package(folder: str) -> str:
+    """This package as an archive in a folder, its tables of rules included."""
     root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="fieldglean-ship-")) / f"{root.name}.zip"
+    archive = Path(folder) / f"{root.name}.zip"
     with zipfile.ZipFile(archive, "w") as z:
         for f in sorted(root.rglob("*")):
             if f.suffix in (".py", ".txt"):
                 z.write(f, f.relative_to(root.parent))
-    context.addPyFile(str(archive))
+    return str(archive)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so Python steps import it there from any folder."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    context.addPyFile(archive_package(tempfile.mkdtemp(prefix="fieldglean-ship-")))
     _shipped.add(context.applicationId)
 
 
