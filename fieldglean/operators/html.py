@@ -7,7 +7,9 @@ aggregate on the page builds the record.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Mapping, Sequence
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -34,6 +36,16 @@ NODE_TYPES = {
 }
 
 
+#: Plain markup: a start tag with quoted attributes, an end tag, a text, the doctype. The last group is the '<' of anything else.
+_PLAIN = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?: [a-zA-Z][-a-zA-Z0-9_]*="[^"&]*")*)>|</([a-zA-Z][a-zA-Z0-9]*)>|([^<]+)|(<!(?i:doctype)[^>]*>)|(<)')
+_START, _END, _TEXT, _DOCTYPE = 2, 3, 4, 5
+_ATTRIBUTE = re.compile(r' ([a-zA-Z][-a-zA-Z0-9_]*)="([^"]*)"')
+#: Elements whose content is no markup.
+_RAW = frozenset((*HTMLParser.CDATA_CONTENT_ELEMENTS, *getattr(HTMLParser, "RCDATA_CONTENT_ELEMENTS", ()), "plaintext"))
+
+#: Elements of so many levels are remembered while a page is handed on, about so many of them.
+_SHALLOW, _KNOWN = 32, 1024
+
 #: Tag of the row that stands for a page the parser gave up on.
 ERROR = "#error"
 #: A record batch holds about so many elements or characters of text, so that a large page leaves its step in pieces.
@@ -41,96 +53,160 @@ BATCH_NODES, BATCH_TEXT = 4096, 8 << 20
 
 
 class _Paths:
-    """The tag paths of all rules as one automaton per anchor id: a state is a step of some path."""
+    """The tag paths of all rules as one automaton per anchor id: a state is a step of some path.
+
+    An element is in a set of states, known by its number: 0 is the empty one, ``root`` that of the page, ``ends`` has those in which
+    a path ends. Sets and moves between them are made as pages show them; only tags and ids of rules make any.
+    """
 
     def __init__(self, paths: Mapping[str, Iterable[str]]) -> None:
         self.start: dict[str, dict] = {}
+        self.tags: set[str] = set()
         for anchor, tails in paths.items():
             for tail in tails:
                 state = self.start.setdefault(anchor, {})
                 for tag in tail.split("/") if tail else ():
+                    self.tags.add(tag)
                     state = state.setdefault(tag, {})
                 state[None] = True
-
-    def enter(self, states: Sequence[dict], tag: str, own_id: str | None) -> list[dict]:
-        """States of an element from those of its parent."""
-        out = [s[tag] for s in states if tag in s]
+        self.sets: list[list[dict]] = []
+        self.numbers: dict[tuple[int, ...], int] = {}
+        self.ends: set[int] = set()
+        #: By set: moves by tag, for elements without an id of a rule.
+        self.moves: list[dict[str, int]] = []
+        self.marked: dict[tuple[int, str, str], int] = {}
+        self.number([])
+        self.root = self.number([self.start[""]] if "" in self.start else [])
+
+    def number(self, states: list[dict]) -> int:
+        key = tuple(map(id, states))
+        if key not in self.numbers:
+            self.numbers[key] = len(self.sets)
+            if any(None in s for s in states):
+                self.ends.add(len(self.sets))
+            self.sets.append(states)
+            self.moves.append({})
+        return self.numbers[key]
+
+    def enter(self, at: int, tag: str, own_id: str | None) -> int:
+        """The set of an element from that of its parent."""
+        known = tag in self.tags
         if own_id and own_id in self.start:
-            out.append(self.start[own_id])
-        return out
-
-
-class _Element:
-    """An open element, or one above an element that is kept: closed ones nothing refers to are forgotten."""
-
-    __slots__ = ("tag", "node", "up", "ordinal", "own_id", "counts", "states", "record", "kids")
-
-    def __init__(self, tag: str, node: int, up: "_Element | None", ordinal: int, own_id: str | None, states: Sequence[dict]) -> None:
-        self.tag, self.node, self.up, self.ordinal, self.own_id, self.states = tag, node, up, ordinal, own_id, states
-        self.counts: dict[str, int] = {}
-        self.record, self.kids = None, 0
+            move, key = self.marked, (at, tag if known else "", own_id)
+        elif known:
+            move, key, own_id = self.moves[at], tag, None
+        else:
+            return 0
+        if key not in move:
+            states = [s[tag] for s in self.sets[at] if tag in s]
+            move[key] = self.number(states + [self.start[own_id]] if own_id else states)
+        return move[key]
 
 
 class _Reader(HTMLParser):
-    """Streams a page past the rules: only elements they name are kept, with their texts."""
+    """Streams a page past the rules: only elements they name are kept, with their texts.
+
+    An element is a tuple (tag, number on the page, parent, ordinal, id, states, numbers of its children by tag). Closed ones that
+    nothing refers to are forgotten.
+    """
 
     def __init__(self, keep, content, paths: _Paths | None) -> None:
         super().__init__(convert_charrefs=True)
         self.keep, self.content, self.paths = keep, content, paths
-        self.root = _Element("", -1, None, 0, None, [paths.start[""]] if paths and "" in paths.start else ())
-        self.open: list[_Element] = []
+        self.root = ("", -1, None, 0, None, paths.root if paths else 0, {})
+        self.open: list[tuple] = []
         self.names: dict[str, int] = {}
         self.count = 0
-        # Kept elements in page order: [element, attributes, own text, whole text].
-        self.kept: list[list] = []
+        # Kept elements in page order, by number: [element, attributes, own text, whole text].
+        self.kept: dict[int, list] = {}
         # Text pieces while an element whose whole text is wanted is open, and where such an element begins among them.
         self.pieces: list[str] = []
         self.begins: dict[int, int] = {}
 
+    def read(self, markup: str) -> None:
+        """A whole page. Plain markup takes one pattern; from the first piece that is none, the rest goes through the parser."""
+        start, end, text = self.handle_starttag, self.handle_endtag, self.handle_data
+        rest = len(markup)
+        for piece in _PLAIN.finditer(markup):
+            kind = piece.lastindex
+            if kind == _START:
+                tag, attrs = piece.group(1, 2)
+                tag = tag.lower()
+                if tag in _RAW:
+                    rest = piece.start()
+                    break
+                start(tag, [(k.lower(), v) for k, v in _ATTRIBUTE.findall(attrs)] if attrs else ())
+            elif kind == _END:
+                end(piece[3].lower())
+            elif kind == _TEXT:
+                text(unescape(piece[4]))
+            elif kind != _DOCTYPE:
+                rest = piece.start()
+                break
+        if rest < len(markup):
+            self.feed(markup[rest:])
+            self.close()
+        self.close_to(0)
+
     def close_to(self, depth: int) -> None:
         for e in reversed(self.open[depth:]):
-            self.names[e.tag] -= 1
-            if e.node in self.begins:
-                e.record[3] = "".join(self.pieces[self.begins.pop(e.node):])
+            self.names[e[0]] -= 1
+            if e[1] in self.begins:
+                self.kept[e[1]][3] = "".join(self.pieces[self.begins.pop(e[1]):])
                 if not self.begins:
                     self.pieces.clear()
         del self.open[depth:]
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        closing = CLOSES.get(tag)
-        if closing and any(self.names.get(c) for c in closing):
-            for depth in range(len(self.open) - 1, -1, -1):
-                name = self.open[depth].tag
-                if name in closing:
-                    self.close_to(depth)
-                    break
-                if name in SCOPE:
+    def close_for(self, closing: set[str]) -> None:
+        """Closes what a start tag ends without an end tag, the nearest of ``closing`` in its scope."""
+        for depth in range(len(self.open) - 1, -1, -1):
+            name = self.open[depth][0]
+            if name in closing:
+                self.close_to(depth)
+                return
+            if name in SCOPE:
+                return
+
+    def handle_starttag(self, tag: str, attrs: Sequence) -> None:
+        names, line, node, paths = self.names, self.open, self.count, self.paths
+        if tag in CLOSES:
+            for c in CLOSES[tag]:
+                if names.get(c):
+                    self.close_for(CLOSES[tag])
                     break
-        up = self.open[-1] if self.open else self.root
-        up.kids += 1
-        up.counts[tag] = ordinal = up.counts.get(tag, 0) + 1
+        up = line[-1] if line else self.root
+        counts, states = up[6], up[5]
+        counts[tag] = ordinal = counts.get(tag, 0) + 1
         own_id = None
         for k, v in attrs:
             if k == "id":
                 own_id = v or ""
-        states = self.paths.enter(up.states, tag, own_id) if self.paths else ()
-        e = _Element(tag, self.count, up, ordinal, own_id, states)
-        self.count += 1
-        if any(None in s for s in states) if self.paths else self.keep(tag):
+        if own_id:
+            states = paths.enter(states, tag, own_id) if paths else 0
+        elif states:
+            found = paths.moves[states].get(tag)
+            states = paths.enter(states, tag, None) if found is None else found
+        e = (tag, node, up, ordinal, own_id, states, {})
+        self.count = node + 1
+        if states in paths.ends if paths else self.keep(tag):
             whole = self.content(tag)
-            e.record = [e, {k: v or "" for k, v in attrs}, None, "" if whole else None]
-            self.kept.append(e.record)
+            self.kept[node] = [e, {k: v or "" for k, v in attrs}, None, "" if whole else None]
             if whole and tag not in VOID:
-                self.begins[e.node] = len(self.pieces)
+                self.begins[node] = len(self.pieces)
         if tag not in VOID:
-            self.open.append(e)
-            self.names[tag] = self.names.get(tag, 0) + 1
+            line.append(e)
+            names[tag] = names.get(tag, 0) + 1
 
     def handle_endtag(self, tag: str) -> None:
+        line = self.open
+        if line and line[-1][0] == tag and line[-1][1] not in self.begins:
+            line.pop()
+            self.names[tag] -= 1
+            return
         if not self.names.get(tag):
             return
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth].tag == tag:
+        for depth in range(len(line) - 1, -1, -1):
+            if line[depth][0] == tag:
                 self.close_to(depth)
                 return
 
@@ -138,8 +214,9 @@ class _Reader(HTMLParser):
         if not self.open:
             return
         top = self.open[-1]
-        if top.record is not None and not top.kids:
-            top.record[2] = (top.record[2] or "") + data
+        if not top[6] and top[1] in self.kept:
+            record = self.kept[top[1]]
+            record[2] = (record[2] or "") + data
         if self.begins:
             self.pieces.append(data)
 
@@ -147,18 +224,35 @@ class _Reader(HTMLParser):
 def _nodes(markup: str, keep, content, paths: _Paths | None = None) -> Iterator[tuple]:
     """Rows of the elements that end one of ``paths``, else of those ``keep(tag)`` accepts; ``content(tag)`` asks for the whole text."""
     reader = _Reader(keep, content, paths)
-    reader.feed(markup)
-    reader.close()
-    reader.close_to(0)
-    for e, attrs, own, text in reader.kept:
-        line, at = [], e
-        while at is not reader.root:
-            line.append(at)
-            at = at.up
-        line.reverse()
-        yield (e.node, e.up.node, e.tag, [n.tag for n in line], [n.ordinal for n in line],
-               [n.up.counts[n.tag] - n.ordinal + 1 for n in line],
-               [{"id": n.own_id, "depth": d} for d, n in enumerate(line, start=1) if n.own_id], list(attrs.items()), own, text)
+    reader.read(markup)
+    known: dict[int, tuple] = {}
+    for e, attrs, own, text in reader.kept.values():
+        tags, idx, from_end, anchors = _line(e, known)
+        yield e[1], e[2][1], e[0], tags, idx, from_end, anchors, list(attrs.items()), own, text
+
+
+def _line(e: tuple, known: dict[int, tuple]) -> tuple[list, list, list, list]:
+    """Tags, ordinals, ordinals from the end and ids down to an element of a page read to its end.
+
+    ``known`` holds those of some elements above earlier ones: of the first ``_SHALLOW`` levels, of which many elements share most.
+    """
+    missing = []
+    while e[2] is not None and e[1] not in known:
+        missing.append(e)
+        e = e[2]
+    tags, idx, from_end, anchors = map(list, known.get(e[1], ((), (), (), ())))
+    if len(known) > _KNOWN:
+        known.clear()
+    for n in range(len(missing) - 1, -1, -1):
+        tag, node, up, ordinal, own_id, _, _ = missing[n]
+        tags.append(tag)
+        idx.append(ordinal)
+        from_end.append(up[6][tag] - ordinal + 1)
+        if own_id:
+            anchors.append({"id": own_id, "depth": len(tags)})
+        if n and len(tags) <= _SHALLOW:
+            known[node] = (tuple(tags), tuple(idx), tuple(from_end), tuple(anchors))
+    return tags, idx, from_end, anchors
 
 
 def html_nodes(pages: DataFrame, html: str = "html", carry: Sequence[str] = ("page_id",),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldglean.operators.relational import last_per_key, number_rows, replace_children
 from fieldglean.plans import listings
-from fieldglean.session import cut
+from fieldglean.session import cut, parallelism
 
 #: Sites whose listing rows carry fields into the record, with the column that holds the address of the detail page.
 DETAIL_URL = {"franchiseflippers": "url", "murphybusiness": "link"}
@@ -21,8 +21,8 @@ ID_BLOCK = 100_000
 
 
 def _pages(pages: DataFrame) -> DataFrame:
-    """One page per address: a page fetched twice counts with its greatest text."""
-    return pages.groupBy(F.col("url").alias("page_id")).agg(F.max("html").alias("html"))
+    """One page per address: a page fetched twice counts with its greatest text. Spread by number for the parser, as pages are few bytes."""
+    return pages.repartition(parallelism(pages.sparkSession), "url").groupBy(F.col("url").alias("page_id")).agg(F.max("html").alias("html"))
 
 
 def site_records(listing_pages: DataFrame, detail_pages: DataFrame, site: str, run_year: int) -> DataFrame:
@@ -31,7 +31,8 @@ def site_records(listing_pages: DataFrame, detail_pages: DataFrame, site: str, r
     A row whose detail page was not fetched makes no record. A detail page that shows none of the fields leaves them NULL. ``page_id``
     is the address of the detail page.
     """
-    listed = listing_pages.select(F.col("url").alias("page_id"), "html")
+    # Spread by number for the parser, as pages are few bytes; by a digest, as Spark would drop a second shuffle on the address.
+    listed = listing_pages.select(F.col("url").alias("page_id"), "html").repartition(parallelism(listing_pages.sparkSession), F.xxhash64("url"))
     rows = listings.murphy_listings(listed) if site == "murphybusiness" else listings.listing_rows(listed, site)
     fetched = _pages(detail_pages)
     details = fetched.select("page_id").join(listings.detail_records(fetched, site, run_year), "page_id", "left")

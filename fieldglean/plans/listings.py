@@ -6,7 +6,7 @@ beside value, then fields of the record) reuse that partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldglean.functions import scalars as S
@@ -259,29 +259,54 @@ def category_tree(pages: DataFrame) -> DataFrame:
                                           F.col("title").alias("category"), "index")
 
 
+def _block_rules() -> list[dict]:
+    """Rules of the free text under strong labels."""
+    return [R.rule("murphybusiness", tail.rsplit("/", 1)[-1], f"{R.MURPHY_TEXTS}/{tail}", part="blocks", mode="own", depth=2, skip_first=3)
+            for tail in ("p", "strong", "p/strong", "div/p", "div/strong", "div/p/strong", "span/p", "span/strong")]
+
+
+def _with_labels(nodes: DataFrame) -> DataFrame:
+    """``in_category`` beside each node: whether the last label before it in its row names a category. A window sees one row of a page."""
+    label = F.when((F.col("part") == "blocks") & (F.col("field") == "strong"), F.contains(F.lower(F.coalesce("value", F.lit(""))), F.lit("category")))
+    so_far = Window.partitionBy("page_id", "row").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
+    return nodes.withColumn("label", label).withColumn("in_category", F.coalesce(F.last("label", True).over(so_far), F.lit(False))).drop("label")
+
+
+#: Paragraphs under a label.
+_IS_TEXT = "part = 'blocks' and field = 'p' and value is not null"
+
+
+def _block_columns() -> list[Column]:
+    """Category and description of a row out of its nodes, '' where no paragraph is of that kind."""
+    text, inside = F.expr(_IS_TEXT), F.col("in_category")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(text & ~inside, F.struct("node_id", "value")))), lambda s: s["value"]), "")
+    return [F.coalesce(F.max_by("value", F.when(text & inside, F.col("node_id"))), F.lit("")).alias("category"), joined.alias("description")]
+
+
 def labelled_blocks(pages: DataFrame) -> DataFrame:
     """``(page_id, row, category, description)`` of free text under strong labels.
 
     Paragraphs after a label naming a category are the category, the others are joined.
     """
-    rules = []
-    for tail in ("p", "strong", "p/strong", "div/p", "div/strong", "div/p/strong", "span/p", "span/strong"):
-        rules.append(R.rule("murphybusiness", tail.rsplit("/", 1)[-1], f"{R.MURPHY_TEXTS}/{tail}", part="rows", mode="own", depth=2,
-                            skip_first=3))
-    nodes = matched_nodes(pages, rules, site="murphybusiness")
-    is_category = F.when(F.col("field") == "strong", F.contains(F.lower(F.coalesce("value", F.lit(""))), F.lit("category")))
-    filled = ordered.fill_forward(nodes.select("page_id", "row", "node_id", "field", "value"), ["page_id", "row"], "node_id",
-                                  is_category, "in_category", bucket=[F.floor(F.col("node_id") / 1000)])
-    texts = filled.filter("field = 'p' and value is not null").withColumn("in_category", F.coalesce("in_category", F.lit(False)))
-    inside = F.col("in_category")
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(~inside, F.struct("node_id", "value")))), lambda s: s["value"]), "")
-    return texts.groupBy("page_id", "row").agg(
-        F.coalesce(F.max_by("value", F.when(inside, F.col("node_id"))), F.lit("")).alias("category"), joined.alias("description"))
+    nodes = matched_nodes(pages, _block_rules(), site="murphybusiness").select("page_id", "row", "node_id", "part", "field", "value")
+    return _with_labels(nodes).filter(_IS_TEXT).groupBy("page_id", "row").agg(*_block_columns())
 
 
 def murphy_listings(pages: DataFrame) -> DataFrame:
-    """Listing rows with their text blocks and amounts."""
-    rows = listing_rows(pages, "murphybusiness").join(labelled_blocks(pages), ["page_id", "row"], "left")
+    """Listing rows with their text blocks and amounts. A page is parsed once, and its nodes are shuffled once, on the row."""
+    rules = R.listing_rules("murphybusiness")
+    fields = list(dict.fromkeys(r["field"] for r in rules))
+    nodes = matched_nodes(pages, [*rules, *_block_rules()], site="murphybusiness")
+    nodes = nodes.select("page_id", "row", "node_id", "part", "field", "value", "priority")
+    shown, order = F.nullif("value", F.lit("")), F.struct("priority", "node_id")
+    found = {f: (F.col("part") == "rows") & (F.col("field") == f) & shown.isNotNull() for f in fields}
+    rows = _with_labels(nodes).groupBy("page_id", "row").agg(
+        *[F.min_by(F.when(here, shown), F.when(here, order)).alias(f) for f, here in found.items()],
+        *_block_columns(), F.count(F.when(F.expr(_IS_TEXT), 1)).alias("texts"))
+    # A row that shows no field is none; one without text, or on a page without an address, has no blocks.
+    rows = rows.filter(F.coalesce(*fields).isNotNull())
+    has_texts = (F.col("texts") > 0) & F.col("page_id").isNotNull()
+    rows = rows.withColumns({c: F.when(has_texts, F.col(c)) for c in ("category", "description")}).drop("texts")
     return _with(rows, S.money, "price", "down_payment", "discretionary_earnings", "total_sales")
 
 
